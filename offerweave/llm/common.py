@@ -62,14 +62,16 @@ def word_shingles(text: Column, size: int = 5) -> Column:
     Words are runs of letters and digits, lower-cased.  Built-in functions only.
     """
     clean = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
-    return F.when(clean == "", F.array().cast("array<bigint>")).otherwise(_hashes(F.split(clean, " "), size))
+    none = F.array().cast("array<bigint>")
+    return _once(clean, lambda c: F.when(c == "", none).otherwise(_once(F.split(c, " "), lambda w: _hashes(w, size))))
 
 
-def _hashes(words: Column, size: int) -> Column:
-    def windows(w: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.size(w) - size),
-            lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(size)]),
-        )
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once: a lambda's argument is not repeated in its body."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
 
-    return F.when(F.size(words) >= size, windows(words)).otherwise(F.array(F.xxhash64(F.concat_ws(" ", words))))
+def _hashes(words: Column, size: int) -> Column:
+    places = F.sequence(F.lit(0), F.size(words) - size)
+    windows = F.transform(places, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(size)]))
+    return F.when(F.size(words) >= size, windows).otherwise(F.array(F.xxhash64(F.concat_ws(" ", words))))
