@@ -9,11 +9,16 @@ element-wise minimum of such slices.
 60 bands of 6 coordinates: two sets at the similarity limit 0.75 share no band with
 probability (1 - 0.75**6)**60 = 8e-6; two at 0.3 share one with probability 0.04.
 
+Two low bits of every coordinate are kept as a sketch.  Sets at the limit agree so often
+that an estimate below 0.62 has probability 2e-6; such pairs are not verified.
+
 Shape of the plan: equal shingle sets collapse to one class first, so copies cost one
 row.  A bucket is never expanded into all its pairs: its members meet its smallest
 member, verified links are contracted to components, and only members of a bucket that
-are still in different components meet again, first through another hub and finally with
-each other.  Every link is confirmed on the full sets, from the full texts.
+are still in different components meet each other.  That join's own condition compares
+sketches, then sets of 32-bit hashes (whose collisions can only raise the similarity), so
+it puts out little more than the missing links.  Every link is confirmed on the full
+sets, from the full texts.
 """
 
 from __future__ import annotations
@@ -31,12 +36,12 @@ from offerweave.plans.scratch import broadcast_if_small, materialize
 
 PLACES = 1 << 20
 BANDS, ROWS = 60, 6
-#: Cross-component pairs of one round, as a multiple of the bucket rows, up to which all are verified at once.
-FINISH = 2
-MAX_HUB_ROUNDS = 6
+SKETCH = BANDS * ROWS // 30
+#: Sketch places of 360 that may differ: 360 * (1 - 0.62) * 3 / 4.
+MAX_DIFFER = 102
 BROADCAST_ROWS = 1_000_000
 
-_SIGS = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64()))])
+_SIGS = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -75,10 +80,10 @@ def _slices() -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(np.concatenate([pi, pi[: width - 1]]), width)
 
 
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """The band values of a set, as 64-bit keys that also hold the band's number."""
+def band_keys(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The band values of a set, as 64-bit keys that also hold the band's number, and its sketch."""
     if not len(hashes):
-        return np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     slices = worker_cache("circulant", _slices)
     places = (_mix(hashes ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(44)).astype(np.int64)
     low = None
@@ -89,7 +94,8 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
     key = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     for k in range(ROWS):
         key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, k])
-    return key.view(np.int64)
+    two = (low & 3).astype(np.int64).reshape(SKETCH, 30) << np.arange(0, 60, 2)
+    return key.view(np.int64), two.sum(axis=1)
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,19 +103,18 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     copies = worker_cache("copies", lambda: Bounded(lambda _: None, 20_000))
     for batch in small_batches(batches, "text"):
-        ids, sizes, digests, bands = batch.column("doc_id").to_pylist(), [], [], []
+        ids, sizes, digests, bands, sketches = batch.column("doc_id").to_pylist(), [], [], [], []
         for text in batch.column("text").to_pylist():
             s = shingle_set(text)
             sizes.append(len(s))
             digest = xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
             digests.append(digest)
-            if not len(s):
-                bands.append([])
-                continue
-            if (known := copies[digest]) is None:
+            known = copies[digest]
+            if known is None:
                 known = copies[digest] = band_keys(s)
-            bands.append(known)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], schema=_SIGS)
+            bands.append(known[0])
+            sketches.append(known[1])
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))], schema=_SIGS)
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,6 +142,43 @@ def _alike(n: str, m: str):
     return (F.col(n) * 100 >= F.col(m) * 75) & (F.col(m) * 100 >= F.col(n) * 75)
 
 
+def _mixed(shared: DataFrame, parts: DataFrame) -> DataFrame:
+    """The rows, without hubs, of those buckets that hold several components beside the hub."""
+    labelled = (
+        shared.filter("class_id <> hub").join(parts.select(F.col("node").alias("class_id"), "component"), "class_id", "left")
+        .select("key", "class_id", "n", F.coalesce("component", "class_id").alias("part"))
+    )
+    split = labelled.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo <> hi").select("key")
+    return materialize(labelled.join(split, "key", "left_semi"), "mixed")
+
+
+def _short_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in small_batches(batches, "text"):
+        sets = [np.unique((shingle_set(t) >> np.uint64(32)).astype(np.uint32)).view(np.int32) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.list_(pa.int32()))], names=["class_id", "hashes"])
+
+
+def _across(mixed: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of a bucket's members, of different components, that may be similar enough."""
+    ids = mixed.select(F.col("class_id").alias("doc_id")).distinct()
+    sets = texts.join(ids, "doc_id", "left_semi").mapInArrow(_short_sets, "class_id bigint, hashes array<int>")
+    wide = sets.join(classes.select("class_id", "sketch"), "class_id").join(mixed, "class_id")
+    full = wide.select("key", "class_id", "n", "part", "hashes", *[F.get("sketch", F.lit(i)).alias(f"s{i}") for i in range(SKETCH)])
+    left, right = (full.select("key", *[F.col(c).alias(f"{side}_{c}") for c in full.columns if c != "key"]) for side in "ab")
+    differ = F.lit(0)
+    for i in range(SKETCH):
+        x = F.col(f"a_s{i}").bitwiseXOR(F.col(f"b_s{i}"))
+        differ = differ + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x0555555555555555)))
+    both = F.size(F.array_intersect("a_hashes", "b_hashes"))
+    # a collision inside one set can hide a common shingle: the shortfall of either set counts as common
+    hidden = F.col("a_n") - F.size("a_hashes") + F.col("b_n") - F.size("b_hashes")
+    near = (
+        (left["key"] == right["key"]) & (F.col("a_class_id") < F.col("b_class_id")) & (F.col("a_part") != F.col("b_part"))
+        & _alike("a_n", "b_n") & (differ <= MAX_DIFFER) & ((both + hidden) * 175 >= (F.col("a_n") + F.col("b_n")) * 75)
+    )
+    return left.join(right, near).select(F.col("a_class_id").alias("a"), F.col("b_class_id").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs(doc_id, text, ...)`` -> ``(doc_id, n_shingles, component_id, kept)``.
 
@@ -147,15 +189,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     a null component and are never kept.  Extra columns are ignored.  No rows give no rows.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>"
+    schema = "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>, sketch array<bigint>"
     signed = materialize(texts.mapInArrow(_sign, schema), "signatures")
     classes = materialize(
         signed.filter("digest is not null and doc_id is not null")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")),
+        .agg(F.min("doc_id").alias("class_id"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch")]),
         "classes",
     )
-    rows = classes.select(F.explode("bands").alias("key"), "class_id", "n")
+    rows = classes.select(F.explode("bands").alias("key"), "class_id", F.col("n_shingles").alias("n"))
     hubs = (
         rows.groupBy("key").agg(F.min(F.struct("class_id", "n")).alias("hub"), F.count("*").alias("c"))
         .filter("c > 1").select("key", F.col("hub.class_id").alias("hub"), F.col("hub.n").alias("hub_n"))
@@ -170,38 +212,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     pairs = shared.filter((F.col("class_id") != F.col("hub")) & _alike("n", "hub_n")).select(F.col("hub").alias("a"), F.col("class_id").alias("b")).distinct()
     links = _verified(pairs, wanted)
-    for turn in range(MAX_HUB_ROUNDS + 1):
+    parts = materialize(connected_components(links), "parts")
+    mixed = _mixed(shared, parts)
+    if not mixed.isEmpty():
+        links = links.unionByName(_verified(_across(mixed, classes, wanted), wanted))
         parts = materialize(connected_components(links), "parts")
-        labelled = (
-            shared.join(parts.select(F.col("node").alias("class_id"), "component"), "class_id", "left")
-            .select("key", "class_id", "n", "hub", F.coalesce("component", "class_id").alias("part"))
-        )
-        split = labelled.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo <> hi").select("key")
-        mixed = materialize(labelled.join(split, "key", "left_semi"), "mixed")
-        sizes = mixed.groupBy("key", "part").agg(F.count("*").alias("c"))
-        total = sizes.groupBy("key").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("cc"))
-        found = total.agg(F.coalesce(F.sum((F.col("c") * F.col("c") - F.col("cc")) / 2), F.lit(0)).alias("pairs"), F.coalesce(F.sum("c"), F.lit(0)).alias("rows")).first()
-        if not found["pairs"]:
-            break
-        last = turn == MAX_HUB_ROUNDS or found["pairs"] <= max(100_000, FINISH * found["rows"])
-        if last:
-            left = mixed.select("key", F.col("class_id").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa"))
-            right = mixed.select("key", F.col("class_id").alias("b"), F.col("n").alias("nb"), F.col("part").alias("pb"), "hub")
-            # whatever met the bucket's first hub is decided already
-            more = left.join(right, "key").filter((F.col("a") < F.col("b")) & (F.col("pa") != F.col("pb")) & (F.col("a") != F.col("hub")) & _alike("na", "nb"))
-        else:
-            # another hub for each bucket: a member picked by a hash that changes with the round
-            order = F.xxhash64("class_id", F.lit(turn))
-            nexts = mixed.filter("class_id <> hub").groupBy("key").agg(F.min(F.struct(order.alias("o"), "class_id", "n", "part")).alias("x"))
-            more = (
-                mixed.join(nexts, "key").filter((F.col("part") != F.col("x.part")) & (F.col("class_id") != F.col("hub")))
-                .select(F.least("class_id", "x.class_id").alias("a"), F.greatest("class_id", "x.class_id").alias("b"), "n", F.col("x.n").alias("m"))
-                .filter(_alike("n", "m"))
-            )
-        links = links.unionByName(_verified(more.select("a", "b").distinct(), wanted))
-        if last:
-            parts = materialize(connected_components(links), "parts")
-            break
     of_class = classes.join(parts, classes.class_id == parts.node, "left").select("digest", F.coalesce("component", "class_id").alias("component_id"))
     return (
         signed.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
