@@ -1,7 +1,363 @@
-"""The registered queries of the offer engine."""
+"""The registered queries of the offer engine, each with SQL that gives the same rows.
+
+Names begin with the operator ids of the survey.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from offerweave.functions import extract as ex
+from offerweave.functions import text as tx
+from offerweave.operators import catalog as ct
+from offerweave.operators import ingest as ig
+from offerweave.operators import reports as rp
+from offerweave.operators import resolve as rs
+from offerweave.operators import tiers as tr
+from offerweave.plans import adapter as ad
+from offerweave.sources import readers as rd
+
 FLAGSHIP = "G4_resolved_products"
-QUERIES: dict = {}
-ORACLES: dict = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLES[name] = sql
+        return f
+
+    return add
+
+
+def on_offers(name: str, sql: str, make: Callable[[DataFrame], DataFrame], base: str = ad.SQL_OFFERS) -> None:
+    source = ad.clustered if base is ad.SQL_CLUSTERS else ad.offers
+    query(name, f"{base} {sql}")(lambda spark, sf_dir: make(source(spark, sf_dir)))
+
+
+# --- scans, numbering, scalar rules
+on_offers("S7_W1_ordered_scan", "select offer_idx, store, store_product_id from o", lambda o: o.select("offer_idx", "store", "store_product_id"))
+on_offers("N1_N3_brand", "select offer_idx, brand_norm from o", lambda o: o.select("offer_idx", "brand_norm"))
+on_offers("N8_title_norm", "select offer_idx, title_norm from o", lambda o: o.select("offer_idx", "title_norm"))
+on_offers("N10_N15_keys", "select offer_idx, ean_key, mpn_root_key, mpn_key, title_key from o", lambda o: o.select("offer_idx", "ean_key", "mpn_root_key", "mpn_key", "title_key"))
+on_offers("N16_model_codes", "select offer_idx, coalesce(good_code, '') as codes from o", lambda o: o.select("offer_idx", F.array_join("model_codes", ",").alias("codes")))
+on_offers("N18_N20_effective_brand", "select offer_idx, brand_from_title, is_suspicious_brand, effective_brand from o", lambda o: o.select("offer_idx", "brand_from_title", "is_suspicious_brand", "effective_brand"))
+on_offers("N12_title_hash", "select offer_idx, substr(sha1(title_norm), 1, 12) as h from o", lambda o: o.select("offer_idx", tx.title_hash(F.col("title_norm")).alias("h")))
+on_offers("N22_F11_language", "select 'EN' as lang, count(*) as n from o", lambda o: o.groupBy(tx.language(F.col("title")).alias("lang")).agg(F.count("*").alias("n")))
+on_offers("N24_spaced_codes", "select offer_idx, 'gb770nc' as joined from o where k % 3 = 1 union all select offer_idx, 'gbrare' || k || 'z9' from o where k % 3 = 2", lambda o: o.select("offer_idx", F.explode(tx.spaced_codes(F.col("title"), F.col("model_codes"))).alias("joined")))
+on_offers("P6_mpn_root", "select distinct mpn, mpn_root from o", lambda o: o.select("mpn", ex.mpn_root(F.col("mpn")).alias("mpn_root")).distinct())
+on_offers("P5_mpn_from_title", "select distinct title, case when false then '' end as mpn from o", lambda o: o.select("title", ex.mpn_from_title(F.col("title")).alias("mpn")).distinct())
+on_offers("P16_first_word", "select distinct title, split_part(title, ' ', 1) as word from o", lambda o: o.select("title", ex.first_word(F.col("title")).alias("word")).distinct())
+on_offers("P20_positive_price", "select offer_idx, case when price > 500 then price::double end as price from o", lambda o: o.select("offer_idx", (ex.positive(F.col("price") - 500) + 500).cast("double").alias("price")))
+on_offers("S2_copy_text", "select store || chr(9) || store_product_id || chr(9) || coalesce(vendor, '\\N') || chr(9) || case when available then 't' else 'f' end as line from o", lambda o: rd.copy_text(o, ["store", "store_product_id", "vendor", "available"]))
+on_offers("F4_reliable_mpn", "select offer_idx, mpn_key as key from o where identifier_source in ('sku', 'api') and mpn_key is not null", tr.mpn_keys)
+on_offers("F5_F7_code_filters", "select distinct code, code = '770nc' as suffix from o where good_code is not null", lambda o: o.select(F.explode("model_codes").alias("code")).distinct().select("code", tx.is_series_suffix(F.col("code")).alias("suffix")))
+on_offers("F12_multi_store_keys", "select mpn_root_key as key, count(distinct store) as stores from o where mpn_root_key is not null group by 1 having count(distinct store) >= 2", lambda o: o.filter("mpn_root_key is not null").groupBy(F.col("mpn_root_key").alias("key")).agg(F.count_distinct("store").alias("stores")).filter("stores >= 2"))
+
+# --- groups, codes, edges
+for _name, _keys, _key in (("A1_mpn_root_groups", tr.mpn_root_keys, "mpn_root_key"), ("A8_ean_groups", tr.ean_keys, "ean_key")):
+    on_offers(_name, f"select {_key} as key, count(*) as n, min(offer_idx) as hub from o where {_key} is not null group by 1 having count(*) > 1",
+              lambda o, f=_keys: tr.groups(f(o)).select("key", F.size("members").alias("n"), F.get("members", F.lit(0)).alias("hub")))
+on_offers("A2_mpn_groups", "select mpn_key as key, count(*) as n from o where identifier_source in ('sku', 'api') and mpn_key is not null group by 1 having count(*) > 1", lambda o: tr.groups(tr.mpn_keys(o)).select("key", F.size("members").alias("n")))
+on_offers("A3_title_groups", "select title_key, count(*) as n from o where title_key is not null and effective_brand <> '' group by category, effective_brand, title_key having count(*) > 1", lambda o: tr.groups(tr.title_keys(o)).select(F.element_at(F.split("key", "\u0001"), -1).alias("title_key"), F.size("members").alias("n")))
+on_offers("A4_block_spread", "select code, spread from spread", tr.block_spread, ad.SQL_CODES)
+on_offers("A5_code_frequency", "select code, freq from freq", tr.code_frequency, ad.SQL_CODES)
+on_offers("A6_chosen_codes", "select offer_idx, chosen as code, freq from chosen", tr.chosen_codes, ad.SQL_CODES)
+on_offers("A7_code_groups", "select chosen as code, count(*) as n from chosen join o using (offer_idx) where effective_brand <> '' group by category, effective_brand, chosen having count(*) > 1", lambda o: tr.groups(tr.model_code_keys(o)).select(F.element_at(F.split("key", "\u0001"), -1).alias("code"), F.size("members").alias("n")), ad.SQL_CODES)
+on_offers("G1_star_edges", "select hub as src, offer_idx as dst from (select offer_idx, min(offer_idx) over (partition by mpn_root_key) as hub from o where mpn_root_key is not null) where hub <> offer_idx", lambda o: tr.star_edges(tr.mpn_root_keys(o)))
+
+
+@query("O1_all_edges", ad.SQL_CLUSTERS + """ select tier, count(*) as n from (
+  select 'mpn_root' as tier, offer_idx, min(offer_idx) over (partition by mpn_root_key) as hub from cl where mpn_root_key is not null union all
+  select 'mpn', offer_idx, min(offer_idx) over (partition by rk) from cl where rk is not null union all
+  select 'model_code', offer_idx, min(offer_idx) over (partition by ck) from cl where ck is not null union all
+  select 'title', offer_idx, min(offer_idx) over (partition by tk) from cl where tk is not null) where hub <> offer_idx group by tier""")
+def all_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ad.edges(spark, sf_dir).groupBy("tier").agg(F.count("*").alias("n"))
+
+
+# --- components and products
+on_offers("G2_G3_components", "select offer_idx, component from cl", lambda c: c.select("offer_idx", "component"), ad.SQL_CLUSTERS)
+on_offers("A29_cluster_sizes", "select component, count(*) as size, count(distinct store) as stores, count(distinct coalesce(category, '')) as categories from cl group by 1", rp.cluster_sizes, ad.SQL_CLUSTERS)
+on_offers("K3_largest_clusters", "select component, count(*) as size from cl group by 1 order by size desc, component limit 25", lambda c: rp.top(rp.cluster_sizes(c).select("component", "size"), "size", ["component"], 25), ad.SQL_CLUSTERS)
+on_offers("K5_sample_clusters", "select component, count(*) as size from cl group by 1 order by component limit 10", lambda c: rp.cluster_sizes(c).select("component", "size").orderBy("component").limit(10), ad.SQL_CLUSTERS)
+on_offers("K6_stratified_clusters", """, z as (select component, count(*) as size, count(distinct store) as stores, count(distinct coalesce(category, '')) as categories from cl group by 1),
+  r as (select *, row_number() over (order by size desc, component) as nth from z)
+  select component, size, stores, categories from r order by case when nth <= 5 then 0 when stores > 1 or categories > 1 then 1 else 2 end, size desc, component limit 15""", lambda c: rp.stratified_clusters(rp.cluster_sizes(c)), ad.SQL_CLUSTERS)
+on_offers("R1_review_signals", """, f as (select component, count(*) as n, count_if(is_suspicious_brand and brand_from_title is null) as lost, count(distinct nullif(effective_brand, '')) as brands from cl group by 1 having count(*) > 1)
+  select component, 'unresolved_suspicious_brand' as reason from f where lost > 0 union all select component, 'cross_effective_brand' from f where brands > 1""", tr.review_signals, ad.SQL_CLUSTERS)
+
+_SQL_METHOD = ad.SQL_CLUSTERS + """, tiers as (
+  select component, list_sort(list_distinct(list(tier))) as tiers from (
+    select 'mpn_root' as tier, component, offer_idx, min(offer_idx) over (partition by mpn_root_key) as hub from cl where mpn_root_key is not null union all
+    select 'mpn', component, offer_idx, min(offer_idx) over (partition by rk) from cl where rk is not null union all
+    select 'model_code', component, offer_idx, min(offer_idx) over (partition by ck) from cl where ck is not null union all
+    select 'title', component, offer_idx, min(offer_idx) over (partition by tk) from cl where tk is not null union all
+    select 'ean', e.component, e.offer_idx, e.hub from (select component, offer_idx, min(offer_idx) over (partition by ean_key) as hub from cl where ean_key is not null) e join cl h on h.offer_idx = e.hub and h.component = e.component
+  ) x where hub <> offer_idx group by component
+), m as (
+  select component, count(*) as size, any_value(tiers) as tiers from cl left join tiers using (component) group by component
+), meth as (
+  select component, size, coalesce(tiers, []) as tiers, case when list_contains(tiers, 'ean') then 'ean' when list_contains(tiers, 'mpn_root') then 'mpn_root' when list_contains(tiers, 'mpn') then 'mpn'
+    when list_contains(tiers, 'model_code') then 'model_code' when list_contains(tiers, 'title') then 'title' else 'unmatched' end as match_method from m
+)"""
+
+def _contributed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rs.contributions(ad.clustered(spark, sf_dir), ad.edges(spark, sf_dir))
+
+
+@query("A9_match_method", _SQL_METHOD + " select component, size, array_to_string(tiers, ',') as tiers, match_method from meth")
+def match_method(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _contributed(spark, sf_dir).select("component", "size", F.array_join("tiers", ",").alias("tiers"), "match_method")
+
+
+@query("A31_method_shares", _SQL_METHOD + " select match_method, count(*) as n, round(count(*) * 100.0 / sum(count(*)) over (), 2)::double as pct from meth group by 1")
+def method_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp.shares(_contributed(spark, sf_dir), "match_method").withColumn("pct", F.col("pct").cast("double"))
+
+
+def _sql_common(name: str, value: str, alias: str) -> str:
+    return f", {name} as (select component, v as {alias} from (select component, {value} as v, row_number() over (partition by component order by count(*) desc, length({value}), {value}) as nth from cl where coalesce({value}, '') <> '' group by component, {value}) where nth = 1)"
+
+
+_SQL_KEYS = _SQL_METHOD + _sql_common("mb", "effective_brand", "brand") + _sql_common("mt", "title_key", "tkey") + """, mc as (
+  select component, v as cat from (select component, coalesce(category, '') as v, row_number() over (partition by component order by count(*) desc, length(coalesce(category, '')), coalesce(category, '')) as nth from cl group by component, coalesce(category, '')) where nth = 1
+), fx as (
+  select component, count(distinct ean) as ne, max(ean) as e1, count(distinct mpn_root) as nr, max(mpn_root) as r1, count(distinct case when identifier_source in ('sku', 'api') then mpn end) as nm,
+    max(case when identifier_source in ('sku', 'api') then mpn end) as m1, count(distinct chosen) as nc, max(chosen) as c1, arg_min(store || '|' || store_product_id, offer_idx) as first from cl group by 1
+), kk as (
+  select *, case when list_contains(tiers, 'title') or nr > 1 or ne > 1 then 'title' when ne = 1 then 'ean' when nr = 1 then 'mpn_root' when nm = 1 then 'mpn' when nc = 1 then 'model_code' else 'title' end as kind0
+  from fx join meth using (component) left join mb using (component) left join mt using (component) left join mc using (component)
+), keys as (
+  select component, case when kind0 = 'title' and tkey is null then 'singleton' else kind0 end as key_kind, case kind0 when 'ean' then 'ean|' || lower(e1) when 'mpn_root' then 'mpnroot|' || lower(coalesce(brand, '')) || '|' || lower(r1)
+    when 'mpn' then 'mpn|' || lower(coalesce(brand, '')) || '|' || lower(m1) when 'model_code' then 'model|' || lower(coalesce(brand, '')) || '|' || lower(c1)
+    else case when tkey is null then 'singleton|' || first else 'title|' || cat || '|' || lower(coalesce(brand, '')) || '|' || tkey end end as match_key from kk
+)"""
+
+
+def _keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ad._kept(spark, sf_dir, "keys", lambda: rs.match_keys(ad.clustered(spark, sf_dir), _contributed(spark, sf_dir)))
+
+
+query("A12_match_keys", _SQL_KEYS + " select component, match_key, key_kind from keys")(_keys)
+query("A30_key_collisions", _SQL_KEYS + " select match_key, count(*) as clusters from keys group by 1 having count(*) > 1")(lambda s, d: rp.collisions(_keys(s, d)))
+query("A34_duplicate_keys", _SQL_KEYS + " select match_key, count(*) as n from keys group by 1 having count(*) > 1")(lambda s, d: _keys(s, d).groupBy("match_key").agg(F.count("*").alias("n")).filter("n > 1"))
+on_offers("A10_A11_common_brand", _sql_common("mb", "effective_brand", "brand") + " select component, lower(brand) as brand from mb", lambda c: rs.most_common(c, "effective_brand", "brand").withColumn("brand", F.lower("brand")), ad.SQL_CLUSTERS)
+
+_REP = ["component", "brand", "category", "canonical_title", "image_url", "ean", "mpn_root", "mpn", "offer_count", "store_count", "min_price", "max_price", "has_available_offer", "needs_review", "review_reason"]
+_SQL_REP = ad.SQL_CLUSTERS + "".join(_sql_common(f"c_{a}", v, a) for v, a in (("effective_brand", "brand"), ("category", "category"), ("ean", "ean"), ("mpn_root", "mpn_root"), ("mpn", "mpn"))) + """, rep as (
+  select component, arg_min(title, offer_idx) as canonical_title, min(offer_idx) as i0, arg_min(image_url, case when image_url is not null then offer_idx end) as any_image,
+    list_sort(list_distinct(list(category) filter (category <> ''))) as cats, count(*) as offer_count, count(distinct store) as store_count, min(price)::double as min_price, max(price)::double as max_price,
+    bool_or(available) as has_available_offer from cl group by 1
+), prod as (
+  select component, lower(c_brand.brand) as brand, c_category.category, canonical_title, coalesce((select image_url from cl where offer_idx = i0), any_image) as image_url, c_ean.ean, c_mpn_root.mpn_root, c_mpn.mpn,
+    offer_count, store_count, min_price, max_price, has_available_offer, coalesce(len(cats), 0) > 1 as needs_review,
+    case when coalesce(len(cats), 0) > 1 then 'cross-category: [''' || array_to_string(cats, ''', ''') || ''']' end as review_reason
+  from rep left join c_brand using (component) left join c_category using (component) left join c_ean using (component) left join c_mpn_root using (component) left join c_mpn using (component)
+)"""
+
+
+def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rep = rs.representatives(ad.clustered(spark, sf_dir))
+    return rep.withColumn("min_price", F.col("min_price").cast("double")).withColumn("max_price", F.col("max_price").cast("double")).select(*_REP)
+
+
+query("A13_representatives", _SQL_REP + f" select {', '.join(_REP)} from prod")(_products)
+query(FLAGSHIP, _SQL_REP + " select component, brand, category, offer_count, store_count, min_price, max_price from prod")(lambda s, d: _products(s, d).select("component", "brand", "category", "offer_count", "store_count", "min_price", "max_price"))
+query("A36_review_reasons", _SQL_REP + " select 'cross-category' as reason, count(*) as n from prod where needs_review having count(*) > 0")(lambda s, d: rp.reason_counts(_products(s, d).filter("needs_review")))
+
+
+@query("G5_bridged_clusters", ad.SQL_CLUSTERS + """, was as (select offer_idx, component, min(offer_idx) over (partition by coalesce(mpn_root_key, 'x' || offer_idx)) as old, count(*) over (partition by coalesce(mpn_root_key, 'x' || offer_idx)) as sz from cl),
+  gr as (select component, count(distinct old) as parts, count_if(sz = 1) as singles, count(distinct case when sz > 1 then old end) as clusters from was group by 1 having count(distinct old) > 1)
+  select *, case when clusters = 0 then 'new' when clusters = 1 then 'grew' else 'bridged' end as kind from gr""")
+def bridged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all tiers against those of the first tier alone."""
+    o = ad.offers(spark, sf_dir)
+    before = tr.clusters(o, tr.star_edges(tr.mpn_root_keys(o)))
+    return rp.grown(before, ad.clustered(spark, sf_dir))
+
+
+# --- reports
+on_offers("A18_store_totals", "select store, count(*) as offers from o group by 1", rp.totals)
+on_offers("A19_coverage", "select coalesce(store, 'TOTAL') as store, count(*) as offers, count(title_key) as title_key, count(ean_key) as ean_key, count(mpn_root_key) as mpn_root_key, count(mpn_key) as mpn_key, count(good_code) as model_codes from o group by rollup (store)", rp.coverage)
+on_offers("A20_block_histogram", """, s as (select count(*) as size from o group by coalesce(category, ''), coalesce(effective_brand, ''))
+  select case when size < 2 then '1' when size < 6 then '2-5' when size < 21 then '6-20' when size < 101 then '21-100' when size < 501 then '101-500' else '501+' end as bucket, count(*) as n, sum(size)::bigint as total from s group by 1""", lambda o: rp.histogram(rp.block_sizes(o), "size", (1, 2, 6, 21, 101, 501)))
+on_offers("K1_largest_blocks", "select coalesce(category, '') as category, coalesce(effective_brand, '') as brand, count(*) as size from o group by 1, 2 order by size desc, 1, 2 limit 25", lambda o: rp.top(rp.block_sizes(o), "size", ["category", "brand"], 25))
+on_offers("A21_suspicious_brands", "select store, count_if(is_suspicious_brand) as suspicious, count_if(is_suspicious_brand and brand_from_title is not null) as recoverable, count_if(is_suspicious_brand and brand_from_title is null) as unrecoverable from o group by 1", rp.suspicious_summary)
+on_offers("K2_brand_fixes", "select brand_norm, brand_from_title, count(*) as n from o where is_suspicious_brand and brand_from_title is not null group by 1, 2 order by n desc, 1, 2 limit 15", rp.brand_fixes)
+on_offers("A22_code_frequency_top", "select code, count(*) as offers from o where good_code is not null group by 1 order by offers desc, code limit 30", lambda o: rp.top(rp.code_counts(o), "offers", ["code"], 30))
+on_offers("A23_category_totals", "select coalesce(category, '') as category, count(*) as offers from o group by 1", lambda o: rp.totals(o.withColumn("category", F.coalesce("category", F.lit(""))), "category"))
+on_offers("A24_codes_per_offer", "select (good_code is not null)::int as codes, count(*) as offers from o group by 1", rp.codes_per_offer)
+on_offers("A25_code_blocks", "select code, count(*) as offers, count(distinct coalesce(category, '') || chr(2) || coalesce(effective_brand, '')) as blocks, count(distinct store) as stores from o where good_code is not null group by 1", rp.code_blocks)
+on_offers("A26_good_codes", "select code, count(*) as offers, count(distinct coalesce(category, '') || chr(2) || coalesce(effective_brand, '')) as blocks, count(distinct store) as stores, count(distinct store) >= 2 as bridge from o where good_code is not null group by 1 having count(distinct coalesce(category, '') || chr(2) || coalesce(effective_brand, '')) = 1 and count(*) between 2 and 5", rp.good_codes)
+on_offers("A27_store_bridges", "select code, count(distinct store) as stores from o where good_code is not null group by 1 having bool_or(store = 's0') and bool_or(store = 's1')", lambda o: rp.store_bridges(o, "s0", "s1"))
+on_offers("A28_matchable_codes", "select coalesce(category, '') as category, coalesce(effective_brand, '') as brand, code, count(*) as offers from o where good_code is not null group by 1, 2, 3 having count(*) > 1", rp.matchable_codes)
+on_offers("A32_multi_identifier_clusters", "select component, count(distinct mpn_root) as roots, count(distinct ean) as eans from cl group by 1 having count(distinct mpn_root) > 1 or count(distinct ean) > 1", lambda c: c.groupBy("component").agg(F.count_distinct("mpn_root").alias("roots"), F.count_distinct("ean").alias("eans")).filter("roots > 1 or eans > 1"), ad.SQL_CLUSTERS)
+on_offers("A33_language_clusters", "select component, 'EN' as langs, count(distinct store) as stores from cl group by 1 having count(distinct store) > 1", lambda c: c.groupBy("component").agg(F.array_join(F.sort_array(F.collect_set(tx.language(F.col("title")))), ",").alias("langs"), F.count_distinct("store").alias("stores")).filter("stores > 1"), ad.SQL_CLUSTERS)
+on_offers("A35_store_count", "select component, count(distinct store) as stores from cl group by 1", lambda c: c.groupBy("component").agg(F.count_distinct("store").alias("stores")), ad.SQL_CLUSTERS)
+on_offers("A37_blocked_codes", "select distinct code, 'suffix' as kind from o where code = '770nc'", rp.blocked_codes)
+on_offers("A38_identifier_sources", "select identifier_source, count(*) as n, round(count(*) * 100.0 / sum(count(*)) over (), 2)::double as pct from o group by 1", lambda o: rp.shares(o, "identifier_source").withColumn("pct", F.col("pct").cast("double")))
+on_offers("A39_mpn_stats", "select store, count(mpn) as present, count_if(mpn is null) as missing, count_if(mpn <> mpn_root) as shortened from o group by 1", lambda o: o.groupBy("store").agg(F.count("mpn").alias("present"), F.count_if(F.col("mpn").isNull()).alias("missing"), F.count_if(F.col("mpn") != F.col("mpn_root")).alias("shortened")))
+on_offers("A40_missing_bucket", "select coalesce(vendor, '<missing>') as vendor, count(*) as n from o group by 1", lambda o: o.groupBy(F.coalesce("vendor", F.lit("<missing>")).alias("vendor")).agg(F.count("*").alias("n")))
+on_offers("A16_product_types", "select coalesce(nullif(trim(product_type), ''), '(empty)') as product_type, count(*) as n from o group by 1", lambda o: o.groupBy(F.coalesce(F.nullif(F.trim("product_type"), F.lit("")), F.lit("(empty)")).alias("product_type")).agg(F.count("*").alias("n")))
+on_offers("A17_category_fill", "select coalesce(category, '(excluded)') as category, count(*) as rows, sum(n)::bigint as products from (select category, product_type, store, count(*) as n from o group by 1, 2, 3) group by 1", lambda o: rp.category_fill(o.groupBy("category", "product_type", "store").agg(F.count("*").cast("string").alias("product_count"))))
+on_offers("K4_excluded_types", "select store, product_type, count(*) as n from o where category is null group by 1, 2 order by n desc, store, product_type limit 25", lambda o: rp.top(o.filter("category is null").groupBy("store", "product_type").agg(F.count("*").alias("n")), "n", ["store", "product_type"], 25))
+on_offers("K7_first_rows", "select offer_idx, store from o order by offer_idx limit 5", lambda o: o.select("offer_idx", "store").orderBy("offer_idx").limit(5))
+on_offers("W7_diverse_sample", ", f as (select product_type, min(offer_idx) as offer_idx from o group by 1) select offer_idx, product_type from f order by offer_idx limit 5", lambda o: rp.diverse_sample(o.select("offer_idx", "product_type"), "product_type", "offer_idx"))
+on_offers("W3_first_per_key", "select vendor, min(offer_idx) as offer_idx from o where vendor is not null group by 1", lambda o: rd.first_per_key(o.filter("vendor is not null").select("vendor", "offer_idx", F.col("offer_idx").alias("ordinal")), ["vendor"]).select("vendor", "offer_idx"))
+on_offers("W2_last_per_key", "select vendor, max(offer_idx) as offer_idx from o where vendor is not null group by 1", lambda o: rd.last_per_key(o.filter("vendor is not null").select("vendor", "offer_idx", F.col("offer_idx").alias("ordinal")), ["vendor"]).select("vendor", "offer_idx"))
+on_offers("F3_store_gate", "select store, count(*) as n, count(*) >= 8000 // 2 as passed from o group by 1", lambda o: ig.sane_stores(o.groupBy("store").agg(F.count("*").alias("count")), o.select("store").distinct().withColumn("expected", F.lit(8000))).select("store", F.col("count").alias("n"), "passed"))
+on_offers("J7_unmapped", "select distinct store, product_type from o where category is null", lambda o: ig.unmapped(o, o.filter("category is not null").select("store", F.col("product_type").alias("raw_product_type")).distinct()))
+on_offers("J5_J6_fingerprint_join", "select product_type, lower(product_type) as fingerprint, count(*) as n from o group by 1", lambda o: o.groupBy("product_type").agg(F.count("*").alias("n")).select("product_type", tx.fingerprint(F.col("product_type")).alias("fingerprint"), "n"))
+
+
+# --- snapshots
+def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The state after an early snapshot, and the rows of a late one that saw most offers."""
+    old = ad.versions(spark, sf_dir, ad.CUTOFF).filter("category is not null").withColumnRenamed("price", "current_price")
+    early = F.lit("2000-01-01").cast("timestamp")
+    state = old.select(*ig.KEY, *ig.FIELDS, early.alias("first_seen_at"), early.alias("last_scraped_at"), early.alias("last_changed_at"))
+    new = ad.versions(spark, sf_dir).filter(F.split("store_product_id", "-")[0].cast("bigint") % 11 != 0)
+    return state, new
+
+
+def _after(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    state, new = _snapshots(spark, sf_dir)
+    now = F.lit("2002-01-01").cast("timestamp")
+    done = ig.mark_disappeared(ig.upsert(state, new, now), new, now, new)
+    return new, done
+
+
+_SQL_AFTER = ad.SQL_SNAPSHOTS + """, st as (
+  select coalesce(n.store, p.store) as store, coalesce(n.store_product_id, p.store_product_id) as store_product_id, coalesce(n.price, p.price)::double as price,
+    case when n.k is null then p.available and s.k is not null else n.available end as available,
+    case when n.k is not null and p.k is null then 'inserted' when n.k is not null and (n.price is distinct from p.price or n.available is distinct from p.available) then 'changed'
+      when n.k is not null then 'unchanged' when p.available and s.k is null then 'disappeared' else 'untouched' end as change
+  from old0 p full join new0 n on p.store = n.store and p.store_product_id = n.store_product_id
+  left join scraped s on s.store = p.store and s.store_product_id = p.store_product_id
+)"""
+
+
+@query("U1_U3_upsert", _SQL_AFTER + " select store, store_product_id, price, available, change from st")
+def upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _after(spark, sf_dir)[1].select(*ig.KEY, F.col("current_price").cast("double").alias("price"), "available", "change")
+
+
+@query("U2_price_history", _SQL_AFTER + " select store, store_product_id, price, available from st where change in ('inserted', 'changed', 'disappeared')")
+def price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ig.history(_after(spark, sf_dir)[1], F.lit("2002-01-01").cast("timestamp"))
+    return rows.select(*ig.KEY, F.col("price").cast("double").alias("price"), "available")
+
+
+@query("A14_A15_F1_counters", _SQL_AFTER + """, d as (select store, count_if(change = 'inserted') as inserted, count_if(change = 'changed') as changed, count_if(change = 'unchanged') as unchanged, count_if(change = 'disappeared') as disappeared from st group by 1)
+  select d.*, coalesce((select count(*) from scraped s where s.store = d.store and s.category is null), 0) as skipped from d""")
+def counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ig.counters(*_after(spark, sf_dir))
+
+
+@query("J4_disappeared", _SQL_AFTER + " select store, store_product_id from st where change = 'disappeared'")
+def disappeared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _after(spark, sf_dir)[1].filter("change = 'disappeared'").select(*ig.KEY)
+
+
+@query("W6_F10_change_log", "select user_id, event_type, count(*) as n, count_if(v is distinct from p) as changes from (select user_id, event_type, value as v, lag(value) over (partition by user_id, event_type order by ts, event_id) as p from events) group by 1, 2")
+def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import Window
+
+    v = F.col("value")
+    order = Window.partitionBy("user_id", "event_type").orderBy("ts", "event_id")
+    log = ad.table(spark, sf_dir, "events").select("user_id", "event_type", v.alias("v"), F.lag(v).over(order).alias("p"))
+    return log.groupBy("user_id", "event_type").agg(F.count("*").alias("n"), F.count_if(~F.col("v").eqNullSafe(F.col("p"))).alias("changes"))
+
+
+# --- identity against an existing catalog
+def _catalog(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Links of two thirds of the offers to the product of their part number, and a catalog of those keys."""
+    c = ad.clustered(spark, sf_dir)
+    part = F.split("store_product_id", "-")[0].cast("bigint")
+    linked = c.filter(part % 3 != 0).select("store", "store_product_id", (F.floor(part / 2) + 1).cast("bigint").alias("product_id"))
+    products = _keys(spark, sf_dir).filter("component % 2 = 0").select((F.col("component") + 1_000_000).alias("id"), "match_key")
+    return linked, products
+
+
+_SQL_IDENTITY = _SQL_KEYS + """, lk as (select component, list_sort(list_distinct(list(k // 2 + 1))) as ids from cl where k % 3 <> 0 group by 1),
+hit as (select match_key, list_sort(list_distinct(list(component + 1000000))) as hits from keys where component % 2 = 0 group by 1),
+dec as (select component, match_key, coalesce(len(ids), 0) as n, coalesce(len(hits), 0) as m, ids, hits from keys left join lk using (component) left join hit using (match_key)),
+res as (select component, case when n = 1 then 'attached' when n > 1 then 'merged' when m = 1 then 'key_lookup' when m > 1 then 'ambiguous_key' else 'new' end as resolution,
+  case when n >= 1 then ids[1] when m >= 1 then hits[1] end as product_id, case when n > 1 then array_to_string(ids[2:], ',') else '' end as absorbed, ids from dec)"""
+
+
+def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ad._kept(spark, sf_dir, "decisions", lambda: rs.resolve_identity(ad.clustered(spark, sf_dir), _keys(spark, sf_dir), *_catalog(spark, sf_dir)))
+
+
+@query("U5_J8_J9_identity", _SQL_IDENTITY + " select component, resolution, product_id, absorbed from res")
+def identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _decisions(spark, sf_dir).select("component", "resolution", "product_id", F.array_join("absorbed", ",").alias("absorbed"))
+
+
+@query("U6_collision_merge", _SQL_IDENTITY + """, sz as (select component, resolution, product_id, count(*) as size from cl join res using (component) group by all),
+  w as (select *, first_value(component) over (partition by coalesce(product_id, -component - 1) order by size desc, component) as winner, count(*) over (partition by coalesce(product_id, -component - 1)) as merged from sz)
+  select winner as component, any_value(merged) as clusters_merged, sum(size)::bigint as offers from w group by 1""")
+def collision_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged = rs.merge_collisions(ad.clustered(spark, sf_dir), _decisions(spark, sf_dir).select("component", "product_id"))
+    return merged.groupBy("component").agg(F.first("clusters_merged").alias("clusters_merged"), F.count("*").alias("offers"))
+
+
+@query("J17_attach_or_create", _SQL_IDENTITY + " select count(*) filter (resolution = 'key_lookup' or resolution = 'ambiguous_key') as would_attach, count(*) filter (resolution = 'new') as would_create from res")
+def attach_or_create(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.col("resolution")
+    return _decisions(spark, sf_dir).agg(F.count_if(kind.isin("key_lookup", "ambiguous_key")).alias("would_attach"), F.count_if(kind == "new").alias("would_create"))
+
+
+@query("U8_J12_absorbed", _SQL_IDENTITY + ", ab as (select product_id as survivor, unnest(ids[2:]) as absorbed from res where resolution = 'merged') select survivor, absorbed from ab where absorbed % 2 = 0")
+def absorbed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Absorbed products with odd ids are still pointed at, so they stay."""
+    still = _decisions(spark, sf_dir).select(F.explode("absorbed").alias("product_id")).filter("product_id % 2 = 1")
+    return ct.absorbed_pairs(_decisions(spark, sf_dir), still)
+
+
+@query("G6_redirects", _SQL_IDENTITY + """, ab as (select distinct product_id as survivor, unnest(ids[2:]) as absorbed from res where resolution = 'merged'), one as (select absorbed, min(survivor) as survivor from ab group by 1)
+  select -absorbed as old_id, survivor as new_id from one union all select absorbed, survivor from one""")
+def redirected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = _decisions(spark, sf_dir).filter("resolution = 'merged'").select(F.col("product_id").alias("survivor"), F.explode("absorbed").alias("absorbed"))
+    pairs = pairs.groupBy("absorbed").agg(F.min("survivor").alias("survivor"))
+    before = pairs.select((-F.col("absorbed")).alias("old_id"), F.col("absorbed").alias("new_id"))
+    return ct.redirects(before, pairs)
+
+
+@query("U7_new_ids", _SQL_IDENTITY + " select component, 5000000 + row_number() over (order by component) - 1 as product_id from res where resolution = 'new'")
+def minted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ct.new_ids(_decisions(spark, sf_dir).filter("resolution = 'new'").select("component"), 5_000_000)
+
+
+# --- documents, pages and events
+@query("P11_P27_page_fields", r"""select page_id, trim(replace(replace(replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), ' ') as title,
+  split_part(split_part(url, '://', 2), '/', 1) as host from pages""")
+def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    host = F.split_part(F.split_part(F.col("url"), F.lit("://"), F.lit(2)), F.lit("/"), F.lit(1))
+    return ad.table(spark, sf_dir, "pages").select("page_id", ex.page_title(F.col("html")).alias("title"), host.alias("host"))
+
+
+@query("P11_breadcrumbs", r"""select page_id, len(regexp_extract_all(html, '(?is)<a[^>]*href="[^"]*"[^>]*>[^<]*</a>')) as links from pages""")
+def crumbs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    links = F.regexp_extract_all("html", F.lit(r'(?is)<a[^>]*href="[^"]*"[^>]*>[^<]*</a>'), F.lit(0))
+    return ad.table(spark, sf_dir, "pages").select("page_id", F.size(links).alias("links"))
+
+
+@query("P17_P19_event_props", """select event_id, try_cast(json_extract_string(props, '$.k') as integer) as k, case when try_cast(json_extract_string(props, '$.k') as double) > 50 then 'k' else 'none' end as source from events""")
+def event_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = F.get_json_object("props", "$.k")
+    price = ex.select_price([("k", (raw.try_cast("decimal(18,4)") - 50).cast("string"))])
+    return ad.table(spark, sf_dir, "events").select("event_id", raw.try_cast("int").alias("k"), price["source"].alias("source"))
+
+
+@query("N4_N12_first_lines", "select doc_id, split_part(text, chr(10), 1) as title, substr(sha1(split_part(text, chr(10), 1)), 1, 12) as h from documents")
+def first_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    title = F.split_part(F.col("text"), F.lit("\n"), F.lit(1))
+    return ad.table(spark, sf_dir, "documents").select("doc_id", title.alias("title"), tx.title_hash(title).alias("h"))
