@@ -10,14 +10,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def bound_batches(spark: SparkSession, rows: int = 1000, size: str = "16m") -> None:
+    """Small Arrow batches for this session, so that long texts do not add up in memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def worker_cache(name: str, make: Callable[[], object]) -> object:
-    """One object per Python worker process, kept across tasks."""
+    """One object per Python worker process, kept across tasks.
+
+    ``name`` is ``family:rest``.  A worker keeps one family at a time, so the caches of earlier
+    stages do not add up in a worker that Spark uses again.
+    """
     held = sys.__dict__.setdefault("_offerweave_cache", {})
     if name not in held:
+        family = name.partition(":")[0]
+        for other in [x for x in held if x.partition(":")[0] != family]:
+            del held[other]
         held[name] = make()
     return held[name]
 
@@ -25,7 +38,7 @@ def worker_cache(name: str, make: Callable[[], object]) -> object:
 class Bounded(dict):
     """A dict that computes missing values and forgets everything beyond ``most`` keys."""
 
-    def __init__(self, make: Callable, most: int = 1_000_000):
+    def __init__(self, make: Callable, most: int = 400_000):
         super().__init__()
         self.make, self.most = make, most
 

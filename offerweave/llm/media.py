@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerweave.llm.common import small_batches, text_or_empty, worker_cache
+from offerweave.llm.common import bound_batches, small_batches, text_or_empty, worker_cache
 
 RATE = 8000
 UNKNOWN = "application/octet-stream"
@@ -175,7 +175,7 @@ def sniff(value: bytes | None, declared: str | None = None) -> dict:
     """
     value = value or b""
     kind, carved, end = UNKNOWN, [], 1
-    for last, (size, check) in worker_cache("magic", _automaton).iter(value.decode("latin-1")):
+    for last, (size, check) in worker_cache("media:magic", _automaton).iter(value.decode("latin-1")):
         at = last - size + 1
         if 0 < at < end or not (hit := check(value, at)):
             continue
@@ -211,6 +211,7 @@ def store_texts(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "n_bytes", "declared", "media"],
             )
 
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     return texts.mapInArrow(run, "doc_id bigint, n_bytes bigint, declared string, media binary")
 

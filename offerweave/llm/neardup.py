@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerweave.llm.common import Bounded, small_batches, worker_cache
+from offerweave.llm.common import Bounded, bound_batches, small_batches, worker_cache
 from offerweave.operators.components import connected_components
 from offerweave.plans.scratch import broadcast_if_small, materialize
 
@@ -63,8 +63,7 @@ def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    known = worker_cache("word64", lambda: Bounded(xxhash.xxh3_64_intdigest))
-    w = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    w = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     if len(w) < size:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
     n = len(w) - size + 1
@@ -84,7 +83,7 @@ def band_keys(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The band values of a set, as 64-bit keys that also hold the band's number, and its sketch."""
     if not len(hashes):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    slices = worker_cache("circulant", _slices)
+    slices = worker_cache("sets:circulant", _slices)
     places = (_mix(hashes ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(44)).astype(np.int64)
     low = None
     for at in range(0, len(places), 512):
@@ -101,7 +100,7 @@ def band_keys(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
-    copies = worker_cache("copies", lambda: Bounded(lambda _: None, 20_000))
+    copies = worker_cache("sets:copies", lambda: Bounded(lambda _: None, 4_000))
     for batch in small_batches(batches, "text"):
         ids, sizes, digests, bands, sketches = batch.column("doc_id").to_pylist(), [], [], [], []
         for text in batch.column("text").to_pylist():
@@ -118,7 +117,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sets = worker_cache("sets", lambda: Bounded(shingle_set, 64))
+    sets = worker_cache("sets:texts", lambda: Bounded(shingle_set, 64))
     for batch in small_batches(batches, "text_a"):
         a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
         ok = []
@@ -188,6 +187,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     words is one shingle.  Repeated rows give repeated results; rows with a null doc_id keep
     a null component and are never kept.  Extra columns are ignored.  No rows give no rows.
     """
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>, sketch array<bigint>"
     signed = materialize(texts.mapInArrow(_sign, schema), "signatures")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerweave.llm.common import crc_mod, small_batches, text_or_empty
+from offerweave.llm.common import bound_batches, crc_mod, small_batches, text_or_empty
 from offerweave.llm.toxicity import training_rows
 
 MAX_ROWS = 4000
@@ -207,6 +207,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
             scores = [probability(model, t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     return texts.mapInArrow(run, "doc_id bigint, score double").select(
         "doc_id", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")

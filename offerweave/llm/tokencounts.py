@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerweave.llm.common import Bounded, small_batches, text_or_empty, worker_cache
+from offerweave.llm.common import Bounded, bound_batches, small_batches, text_or_empty, worker_cache
 from offerweave.llm.packing import vocabulary_path
 
 #: What a redaction replaces: addresses with an at sign, and long runs of digits.
@@ -28,7 +28,7 @@ def _counts(path: str) -> Bounded:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    return Bounded(lambda chunk: len(tokenizer.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids), 700_000)
+    return Bounded(lambda chunk: len(tokenizer.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids), 400_000)
 
 
 class TokenTree:
@@ -118,6 +118,7 @@ def counts_after_edits(docs: DataFrame, edits_of=redactions, path: str | None =
     ``edits_of`` gives a text's edits.  Null and empty texts have 0 tokens.  Repeated rows give
     repeated results; extra columns are ignored; no rows give no rows.
     """
+    bound_batches(docs.sparkSession)
     path = path or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

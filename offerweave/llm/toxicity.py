@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerweave.llm.common import Bounded, crc_mod, small_batches, text_or_empty, worker_cache
+from offerweave.llm.common import Bounded, bound_batches, crc_mod, small_batches, text_or_empty, worker_cache
 
 BUCKETS = 1 << 20
 MAX_ROWS = 6000
@@ -40,7 +40,7 @@ def _buckets(word: bytes) -> tuple[int, ...]:
 
 def term_buckets(text: str) -> np.ndarray:
     """Sorted distinct buckets of a text's terms."""
-    known = worker_cache("buckets", lambda: Bounded(_buckets, 500_000))
+    known = worker_cache("terms:buckets", lambda: Bounded(_buckets, 150_000))
     words = set(text.lower().encode("utf-8", "replace").split())
     found, times = np.unique(np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int64), return_counts=True)
     again = (found[times > 1] * 2654435761 + 12345) % BUCKETS
@@ -119,6 +119,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, fold: Column,
     """
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     sample = known.filter(fold).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     return texts.join(F.broadcast(sample), "doc_id").mapInArrow(describe, schema).orderBy("doc_id").collect()
 
@@ -147,6 +148,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
             scores = [probability(model, term_buckets(t)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     return texts.mapInArrow(run, "doc_id bigint, score double").select(
         "doc_id", F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")

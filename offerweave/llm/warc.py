@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerweave.llm.common import small_batches
+from offerweave.llm.common import bound_batches, small_batches
 from offerweave.plans.scratch import broadcast_if_small, materialize
 
 ARCHIVE_BYTES = 8 << 20
@@ -84,6 +84,7 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, archive_bytes: int = AR
 
     Null html counts as empty.  Payloads shorter than ``min_bytes`` are never revisits.
     """
+    bound_batches(pages.sparkSession)
     body = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     base = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), body.alias("body"))
     base = base.withColumn("sha1", F.sha1("body"))
