@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from offerweave.llm.common import Bounded, small_batches, text_or_empty, worker_cache
+from offerweave.llm.common import bound_batches, small_batches, text_or_empty, worker_cache
 from offerweave.plans.scratch import materialize
 
 CAPACITY = 2048
@@ -34,37 +34,80 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-def chunk_ids(path: str) -> Bounded:
-    """Chunk of bytes without ASCII white space -> its ids as little-endian unsigned 32-bit integers.
+class ChunkIds:
+    """Ids of chunks of bytes without ASCII white space, as little-endian unsigned 32-bit integers.
 
     The tokenizer collapses white space and never joins across it, so the ids of a text are
-    those of its chunks in order.
+    those of its chunks in order.  It also parts letters from marks, so letters that end in one
+    mark are looked up as both.  New chunks of letters are encoded many at once and told apart
+    by the word ends among the ids.  ``most`` chunks are kept between batches.
     """
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-
-    def ids(chunk: bytes) -> bytes:
-        return np.array(tokenizer.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+    def __init__(self, path: str, most: int = 400_000):
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most, {}
+        words = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(words.values()) + 1, bool)
+        self.ends[[i for w, i in words.items() if w.endswith("</w>")]] = True
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def learn(self, chunks: set[bytes]) -> None:
+        """Make sure that all ``chunks`` are known."""
+        if len(self.known) > self.most:
+            self.known.clear()
+        letters, parted = {}, []
+        for chunk in chunks.difference(self.known):
+            text = chunk.decode("utf-8", "replace")
+            marked = len(text) > 1 and text[-1] in ".,;:!?"
+            core = text[:-1] if marked else text
+            if not (core.isalpha() and core.lower().isalpha()):
+                self.known[chunk] = self._ids(text).tobytes()
+                continue
+            letters[chunk[:-1] if marked else chunk] = core
+            if marked:
+                parted.append(chunk)
+        new = [c for c in letters if c not in self.known]
+        for at in range(0, len(new), 1000):
+            part = new[at : at + 1000]
+            ids = self._ids(" ".join(letters[c] for c in part))
+            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            raw = ids.tobytes()
+            if len(cuts) == len(part):
+                self.known.update(zip(part, (raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)), strict=True))
+            else:
+                self.known.update((c, self._ids(letters[c]).tobytes()) for c in part)
+        for chunk in parted:
+            mark = chunk[-1:]
+            if mark not in self.known:
+                self.known[mark] = self._ids(mark.decode()).tobytes()
+            self.known[chunk] = self.known[chunk[:-1]] + self.known[mark]
 
-    return Bounded(ids, 700_000)
 
+def encode(texts: list[str], path: str) -> list[bytes]:
+    """Each text's ids and the closing id 0, four bytes each.
 
-def encode(text: str, path: str) -> bytes:
-    """A text's ids and the closing id 0, four bytes each."""
-    known = worker_cache(f"chunks:{path}", lambda: chunk_ids(path))
-    return b"".join(map(known.__getitem__, text.encode("utf-8", "replace").split())) + b"\0\0\0\0"
+    The tokenizer lower-cases; doing so first for A-Z makes chunks equal more often.  Texts that
+    may hold one of its special tokens, which it looks for before that, are left as they are.
+    """
+    held = worker_cache(f"ids:{path}", lambda: ChunkIds(path))
+    raws = [t.encode("utf-8", "replace") for t in texts]
+    chunked = [(r if b"<|" in r else r.lower()).split() for r in raws]
+    held.learn(set().union(*chunked))
+    return [b"".join(map(held.known.__getitem__, c)) + b"\0\0\0\0" for c in chunked]
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32)`` of every document; null text counts as empty."""
+    bound_batches(docs.sparkSession)
     path = path or vocabulary_path()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", 2 << 20):
             out: list[list] = [[], [], [], [], []]
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = encode(text, path)
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist(), path), strict=True):
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     for column, value in zip(out, (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
