@@ -67,18 +67,18 @@ def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     the same lines; other columns are kept as they are (columns named n_lines or n_removed are
     replaced).  No rows give no rows.
     """
-    gone = removed_lines(docs, min_sites).select(F.col("doc_id").alias("_doc"), F.col("places").alias("_places"))
-    both = docs.drop("n_lines", "n_removed").join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_doc")), "left")
+    gone = removed_lines(docs, min_sites).select(F.col("doc_id").alias("__offerweave_doc"), F.col("places").alias("__offerweave_places"))
+    both = docs.drop("n_lines", "n_removed").join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__offerweave_doc")), "left")
     lines = F.split("text", "\n")
-    left = F.filter(lines, lambda x, i: ~F.array_contains("_places", i))
+    left = F.filter(lines, lambda x, i: ~F.array_contains("__offerweave_places", i))
     # split keeps a trailing part, so joining what is left is exact
-    new = F.when(F.col("_places").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    counted = both.withColumn("n_lines", F.size(F.split(text_or_empty(), "\n"))).withColumn("n_removed", F.coalesce(F.size("_places"), F.lit(0)))
-    counted = counted.withColumn("n_removed", F.when(F.col("_places").isNull(), 0).otherwise(F.size("_places")))
+    new = F.when(F.col("__offerweave_places").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    counted = both.withColumn("n_lines", F.size(F.split(text_or_empty(), "\n"))).withColumn("n_removed", F.coalesce(F.size("__offerweave_places"), F.lit(0)))
+    counted = counted.withColumn("n_removed", F.when(F.col("__offerweave_places").isNull(), 0).otherwise(F.size("__offerweave_places")))
     out = counted.withColumn("text", new)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
-    return out.drop("_doc", "_places")
+    return out.drop("__offerweave_doc", "__offerweave_places")
 
 
 def without_repeated_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
