@@ -20,7 +20,7 @@ def mpn_from_sku(sku: Column) -> Column:
 
 def mpn_from_lists(part_numbers: Column, barcodes: Column, article: Column) -> Column:
     """The first part number that is not the article's, else the first barcode."""
-    parts = lambda x: F.filter(F.transform(F.split(F.coalesce(x, F.lit("")), ";"), F.trim), lambda p: p != "")
+    parts = lambda x: F.filter(F.transform(F.split(F.coalesce(x, F.lit("")), ";"), lambda p: F.trim(p)), lambda p: p != "")
     own = F.filter(parts(part_numbers), lambda p: ~p.eqNullSafe(article))
     return F.coalesce(F.get(own, F.lit(0)), F.get(parts(barcodes), F.lit(0)))
 
