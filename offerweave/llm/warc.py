@@ -65,11 +65,13 @@ def records(archive: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
     """(offset, length, headers, body) of each gzip member of an archive."""
     at = 0
     while at < len(archive):
-        unpack = zlib.decompressobj(31)
-        raw = unpack.decompress(memoryview(archive)[at:])
+        unpack, parts, pos = zlib.decompressobj(31), [], at
+        while not unpack.eof and pos < len(archive):  # in steps, so that what follows is not copied
+            parts.append(unpack.decompress(archive[pos : pos + 16384]))
+            pos = min(pos + 16384, len(archive))
         if not unpack.eof:
             raise ValueError("an archive ends within a record")
-        size = len(archive) - at - len(unpack.unused_data)
+        raw, size = b"".join(parts), pos - at - len(unpack.unused_data)
         head, _, rest = raw.partition(b"\r\n\r\n")
         fields = dict(x.decode("utf-8", "replace").split(": ", 1) if ": " in x.decode("utf-8", "replace") else (x.decode("utf-8", "replace").rstrip(":"), "") for x in head.split(b"\r\n")[1:])
         n = int(fields["Content-Length"])
