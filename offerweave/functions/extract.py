@@ -181,3 +181,10 @@ def ean_from_specs(specs: Column) -> Column:
 def variant_title(product: Column, variant: Column) -> Column:
     plain = F.coalesce(variant, F.lit("")).isin("", "Default Title")
     return F.when(plain, product).otherwise(F.concat(product, F.lit(" – "), variant))
+
+
+STATUS_AVAILABLE = ("IMMEDIATELY_AVAILABLE", "LAST_PIECES", "ON_ORDER")
+
+
+def status_available(status: Column) -> Column:
+    return F.coalesce(status.isin(*STATUS_AVAILABLE), F.lit(False))

@@ -86,3 +86,15 @@ def sane_stores(counts: DataFrame, expected: DataFrame) -> DataFrame:
     """Stores whose file holds at least half of the expected rows."""
     joined = expected.join(counts, "store", "left").withColumn("count", F.coalesce("count", F.lit(0)))
     return joined.withColumn("passed", F.col("count") >= F.floor(F.col("expected") / 2))
+
+
+def phase_two(rows: DataFrame, candidates: DataFrame, mapped: DataFrame, statuses: DataFrame, most: int) -> DataFrame:
+    """Rows whose availability a second look settled.
+
+    Only candidate ids of mapped product types are looked at, the first ``most`` by id;
+    ``statuses(store_product_id, status_available)`` holds the looks that worked, others change nothing.
+    """
+    asked = rows.join(candidates.select("store_product_id").distinct(), "store_product_id", "left_semi").join(mapped.select("product_type").distinct(), "product_type", "left_semi")
+    asked = asked.select("store_product_id").distinct().orderBy("store_product_id").limit(most)
+    settled = statuses.join(asked, "store_product_id", "left_semi").select("store_product_id", "status_available")
+    return rows.join(settled, "store_product_id", "left").withColumn("available", F.coalesce("status_available", "available")).drop("status_available")

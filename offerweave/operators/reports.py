@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerweave.functions import text as tx
@@ -102,8 +102,8 @@ def collisions(keys: DataFrame) -> DataFrame:
 def shares(rows: DataFrame, value: str) -> DataFrame:
     """Counts of each value and their share of all rows."""
     counts = rows.groupBy(value).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    return counts.crossJoin(F.broadcast(total)).select(value, "n", F.round(F.col("n") * 100.0 / F.col("total"), 2).alias("pct"))
+    total = F.sum("n").over(Window.partitionBy(F.lit(1)))  # over the few distinct values
+    return counts.select(value, "n", F.round(F.col("n") * 100.0 / total, 2).alias("pct"))
 
 
 def reason_counts(decisions: DataFrame) -> DataFrame:

@@ -361,3 +361,111 @@ def event_props(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = F.split_part(F.col("text"), F.lit("\n"), F.lit(1))
     return ad.table(spark, sf_dir, "documents").select("doc_id", title.alias("title"), tx.title_hash(title).alias("h"))
+
+
+# --- more joins and mutations
+def _mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(store, raw_product_type, category) of two product types, in even stores only."""
+    pairs = ad.offers(spark, sf_dir).filter("store in ('s0', 's2', 's4') and product_type in ('SMALL', 'LARGE')")
+    return pairs.select("store", F.col("product_type").alias("raw_product_type"), F.lower("product_type").alias("category")).distinct()
+
+
+@query("J1_category_join", f"{ad.SQL_OFFERS} select offer_idx, case when store in ('s0', 's2', 's4') and product_type in ('SMALL', 'LARGE') then lower(product_type) end as category from o")
+def category_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ig.with_category(ad.offers(spark, sf_dir), _mapping(spark, sf_dir)).select("offer_idx", "category")
+
+
+@query("U4_mapping_upsert", f"{ad.SQL_OFFERS} select distinct store, product_type as raw_product_type, case when store in ('s0', 's2', 's4') and product_type in ('SMALL', 'LARGE') then lower(product_type) else 'old' end as category from o")
+def mapping_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = ad.offers(spark, sf_dir).select("store", F.col("product_type").alias("raw_product_type"), F.lit("old").alias("category")).distinct()
+    return ig.upsert_mapping(old, _mapping(spark, sf_dir))
+
+
+@query("S15_retry_merge", f"{ad.SQL_OFFERS} select store, store_product_id, case when k % 13 = 0 then 'again' else vendor end as vendor from o")
+def retry_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ad.offers(spark, sf_dir).select("store", "store_product_id", "vendor")
+    again = rows.filter(F.split("store_product_id", "-")[0].cast("bigint") % 13 == 0).withColumn("vendor", F.lit("again"))
+    return rd.merge_retry(rows, again, ig.KEY)
+
+
+@query("S14_failed_keys", f"{ad.SQL_OFFERS} select store, store_product_id from o where k % 13 <> 0")
+def failed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ad.offers(spark, sf_dir)
+    return rd.failed_keys(rows.select(*ig.KEY), rows.filter(F.split("store_product_id", "-")[0].cast("bigint") % 13 == 0), ig.KEY)
+
+
+@query("J11_link_offers", _SQL_IDENTITY + " select store, store_product_id, coalesce(product_id, -1) as product_id, case when product_id is null then 'unmatched' else 'linked' end as match_method from cl join res using (component)")
+def link_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state = ad.clustered(spark, sf_dir).select(*ig.KEY, F.lit(-1).cast("bigint").alias("product_id"), F.lit("unmatched").alias("match_method"))
+    found = _decisions(spark, sf_dir).filter("product_id is not null").select("component", "product_id")
+    links = ad.clustered(spark, sf_dir).select(*ig.KEY, "component").join(found, "component").withColumn("match_method", F.lit("linked"))
+    return ct.link_offers(state, links)
+
+
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each absorbed product with its smallest survivor."""
+    merged = _decisions(spark, sf_dir).filter("resolution = 'merged'").select(F.col("product_id").alias("survivor"), F.explode("absorbed").alias("absorbed"))
+    survivors = merged.select(F.col("survivor").alias("absorbed")).distinct()
+    return merged.groupBy("absorbed").agg(F.min("survivor").alias("survivor")).join(survivors, "absorbed", "left_anti")
+
+
+_SQL_PAIRS = _SQL_IDENTITY + """, ab as (select product_id as survivor, unnest(ids[2:]) as absorbed from res where resolution = 'merged'),
+pr as (select absorbed, min(survivor) as survivor from ab where absorbed not in (select survivor from ab) group by 1)"""
+
+
+@query("U8_J13_subscriptions", _SQL_PAIRS + """, subs as (select 'u' || (absorbed % 7) as email, absorbed as product_id from pr union select 'u0', survivor from pr)
+  select distinct email, coalesce(survivor, product_id) as product_id from subs left join pr on pr.absorbed = subs.product_id""")
+def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = _pairs(spark, sf_dir)
+    subs = pairs.select(F.concat(F.lit("u"), F.col("absorbed") % 7).alias("email"), F.col("absorbed").alias("product_id"))
+    subs = subs.unionByName(pairs.select(F.lit("u0").alias("email"), F.col("survivor").alias("product_id"))).distinct()
+    return ct.repoint_subscriptions(subs, pairs)
+
+
+@query("U8_delete_absorbed", _SQL_PAIRS + " select distinct product_id as id from res where product_id is not null and product_id not in (select absorbed from pr)")
+def delete_absorbed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    products = _decisions(spark, sf_dir).filter("product_id is not null").select(F.col("product_id").alias("id")).distinct()
+    return ct.delete_absorbed(products, _pairs(spark, sf_dir))
+
+
+@query("J14_store_count_backfill", f"{ad.SQL_OFFERS} select k as id, count(distinct store) as store_count from o group by 1 having count(distinct store) <> 3")
+def backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state = ad.offers(spark, sf_dir).select("store", F.split("store_product_id", "-")[0].cast("bigint").alias("product_id"))
+    return ct.store_counts(state.select(F.col("product_id").alias("id"), F.lit(3).cast("bigint").alias("store_count")).distinct(), state)
+
+
+@query("P28_J19_phase_two", f"{ad.SQL_OFFERS} select offer_idx, case when k % 17 = 0 and product_type = 'SMALL' then true else available end as available from o")
+def phase_two(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ad.offers(spark, sf_dir)
+    part = F.split("store_product_id", "-")[0].cast("bigint")
+    statuses = rows.filter(part % 17 == 0).select("store_product_id", ex.status_available(F.lit("ON_ORDER")).alias("status_available")).distinct()
+    return ig.phase_two(rows, rows.filter(part % 17 == 0), rows.filter("product_type = 'SMALL'"), statuses, 1_000_000).select("offer_idx", "available")
+
+
+@query("J2_history_join", _SQL_AFTER + " select s.store, count(*) as n from st join scraped s using (store, store_product_id) where st.change in ('inserted', 'changed') group by 1")
+def history_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    new, done = _after(spark, sf_dir)
+    return done.filter("change in ('inserted', 'changed')").join(new.select(*ig.KEY), ig.KEY).groupBy("store").agg(F.count("*").alias("n"))
+
+
+@query("P23_availability", f"{ad.SQL_OFFERS} select offer_idx, available as in_stock from o")
+def availability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.when(F.col("available"), "https://schema.org/InStock").otherwise("https://schema.org/SoldOut")
+    return ad.offers(spark, sf_dir).select("offer_idx", ex.in_stock(text).alias("in_stock"))
+
+
+@query("G5_tier_prefix_components", f"{ad.SQL_OFFERS} select offer_idx, min(offer_idx) over (partition by coalesce(mpn_root_key, 'x' || offer_idx)) as component from o")
+def first_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = ad.offers(spark, sf_dir)
+    return tr.clusters(o, tr.star_edges(tr.mpn_root_keys(o))).select("offer_idx", "component")
+
+
+@query("G7_bridged_stores", ad.SQL_CLUSTERS + """, was as (select *, min(offer_idx) over (partition by coalesce(mpn_root_key, 'x' || offer_idx)) as old from cl)
+  select component from was where store in ('s0', 's1') group by 1 having bool_or(store = 's0') and bool_or(store = 's1')
+    and not list_has_any(list(old) filter (store = 's0'), list(old) filter (store = 's1'))""")
+def bridged_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters that join two stores whose offers were apart after the first tier."""
+    old = first_tier(spark, sf_dir).withColumnRenamed("component", "old")
+    both = ad.clustered(spark, sf_dir).join(old, "offer_idx")
+    sides = both.groupBy("component").agg(*[F.collect_set(F.when(F.col("store") == s, F.col("old"))).alias(s) for s in ("s0", "s1")])
+    return sides.filter((F.size("s0") > 0) & (F.size("s1") > 0) & ~F.arrays_overlap("s0", "s1")).select("component")

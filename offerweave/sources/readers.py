@@ -96,8 +96,9 @@ def maybe_gzip(files: DataFrame) -> DataFrame:
 
 def pages_until_empty(pages: DataFrame) -> DataFrame:
     """Items of pages(page, items) up to the first page without items; the first copy of an id counts."""
-    empty = pages.filter(F.coalesce(F.size("items"), F.lit(0)) <= 0).agg(F.coalesce(F.min("page"), F.lit(2**31 - 1)).alias("stop"))
-    rows = pages.crossJoin(F.broadcast(empty)).filter("page < stop").select("page", F.posexplode("items").alias("pos", "item"))
+    stop = pages.filter(F.coalesce(F.size("items"), F.lit(0)) <= 0).agg(F.min("page")).first()[0]
+    read = pages if stop is None else pages.filter(F.col("page") < stop)
+    rows = read.select("page", F.posexplode("items").alias("pos", "item"))
     return rows.groupBy("item.id").agg(F.min_by("item", F.struct("page", "pos")).alias("item"))
 
 
