@@ -102,9 +102,15 @@ def normalize_units(text: Column) -> Column:
 def _without(text: Column, phrases: tuple[str, ...]) -> Column:
     """Without whole phrases: the longest first, equal lengths in order of their text."""
     ordered = sorted(set(phrases), key=lambda p: (-len(p), p))
-    for _, same in groupby(ordered, key=len):
-        text = F.regexp_replace(text, r"(?U)(?<!\w)(?:" + "|".join(rf"\Q{p}\E" for p in same) + r")(?!\w)", "")
-    return text
+    whole = lambda some: r"(?U)(?<!\w)(?:" + "|".join(rf"\Q{p}\E" for p in some) + r")(?!\w)"
+
+    def run(t: Column) -> Column:
+        out = t
+        for _, same in groupby(ordered, key=len):
+            out = F.regexp_replace(out, whole(same), "")
+        return F.when(t.rlike(whole(ordered)), out).otherwise(t)  # most texts hold none
+
+    return once(text, run)
 
 
 def strip_color(text: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerweave.functions import text as tx
+from offerweave.plans.scratch import materialize
 
 
 def number_offers(offers: DataFrame) -> DataFrame:
@@ -13,9 +14,8 @@ def number_offers(offers: DataFrame) -> DataFrame:
 
     Rows are dealt by ranges, numbered within their range and shifted by the ranges before.
     """
-    ranged = offers.repartitionByRange("store", "store_product_id").withColumn("_part", F.spark_partition_id())
-    from offerweave.plans.scratch import materialize
-
+    ranges = int(offers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = offers.repartitionByRange(ranges, "store", "store_product_id").withColumn("_part", F.spark_partition_id())
     held = materialize(ranged, "numbered")  # the ranges must not be drawn anew
     sizes = held.groupBy("_part").agg(F.count("*").alias("_c"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
