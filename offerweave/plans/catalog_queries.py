@@ -5,9 +5,10 @@ Names begin with the operator ids of the survey.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerweave.functions import extract as ex
@@ -18,6 +19,7 @@ from offerweave.operators import reports as rp
 from offerweave.operators import resolve as rs
 from offerweave.operators import tiers as tr
 from offerweave.plans import adapter as ad
+from offerweave.plans.scratch import scratch_root
 from offerweave.sources import readers as rd
 
 FLAGSHIP = "G4_resolved_products"
@@ -469,3 +471,215 @@ def bridged_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = ad.clustered(spark, sf_dir).join(old, "offer_idx")
     sides = both.groupBy("component").agg(*[F.collect_set(F.when(F.col("store") == s, F.col("old"))).alias(s) for s in ("s0", "s1")])
     return sides.filter((F.size("s0") > 0) & (F.size("s1") > 0) & ~F.arrays_overlap("s0", "s1")).select("component")
+
+
+# --- source documents: fields of pages and listings made from the parts
+def _number() -> Column:
+    return F.col("p_partkey").cast("string")
+
+
+def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ad.table(spark, sf_dir, "part")
+
+
+@query("P1_variant_titles", """select p_partkey, p_name as title from part union all select p_partkey, p_name from part union all select p_partkey, p_name || ' – ' || p_size || 'GB' from part""")
+def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    each = F.explode(F.array(F.lit("Default Title"), F.lit(""), F.concat("p_size", F.lit("GB"))))
+    return _parts(spark, sf_dir).select("p_partkey", "p_name", each.alias("variant")).select("p_partkey", ex.variant_title(F.col("p_name"), F.col("variant")).alias("title"))
+
+
+@query("P2_P3_part_numbers", """select p_partkey, case when p_size % 3 <> 0 then p_brand end as sku,
+  case p_partkey % 3 when 0 then 'N' || p_partkey when 1 then 'bar' || p_partkey end as mpn from part""")
+def part_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    article = F.concat(F.lit("A"), _number())
+    listed = F.expr("CASE p_partkey % 3 WHEN 0 THEN concat(' ;A', p_partkey, '; N', p_partkey, ' ;x') WHEN 1 THEN concat('A', p_partkey, ';') END")
+    barcodes = F.expr("CASE WHEN p_partkey % 3 < 2 THEN concat(';bar', p_partkey, ';other') END")
+    sku = F.when(F.col("p_size") % 3 == 0, "").otherwise(F.col("p_brand"))
+    return _parts(spark, sf_dir).select("p_partkey", ex.mpn_from_sku(sku).alias("sku"), ex.mpn_from_lists(listed, barcodes, article).alias("mpn"))
+
+
+@query("P4_bracketed_mpn", "select p_partkey, case when p_partkey % 3 > 0 then 'AB-' || lpad(p_partkey::varchar, 7, '0') end as mpn from part")
+def bracketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = F.concat(F.lit(" (AB-"), F.lpad(_number(), 7, "0"), F.lit(")"))
+    more = F.expr("CASE p_partkey % 3 WHEN 1 THEN ' (1234567)' WHEN 2 THEN ' (ABCDEFG) (X1)' ELSE ' (1234567)' END")
+    title = F.concat("p_name", F.when(F.col("p_partkey") % 3 > 0, F.concat(F.lit(" (OLD-1)"), code)).otherwise(""), more)
+    return _parts(spark, sf_dir).select("p_partkey", ex.mpn_in_brackets(title).alias("mpn"))
+
+
+@query("P7_P8_json_ld", "select p_partkey, case when p_partkey % 4 < 3 then p_partkey::varchar end as sku from part")
+def linked_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    item = lambda kind: F.concat(F.lit('{"@context":"https://schema.org","@type":' + kind + ',"sku":"'), _number(), F.lit('"}'))
+    block = lambda body: F.concat(F.lit('<script type="application/ld+json">'), body, F.lit("</script>"))
+    graph = F.concat(F.lit('{"@context":"https://schema.org","@graph":['), item('"WebPage"'), F.lit(","), item('["Thing","Product"]'), F.lit("]}"))
+    k = F.col("p_partkey") % 4
+    html = F.concat(F.lit("<html>"), block(item('"Organization"')), F.when(k == 0, block(item('"Product"'))).when(k == 1, block(graph)).when(k == 2, block(item('["Product"]'))).otherwise(block(item('"Productions"'))))
+    return _parts(spark, sf_dir).select("p_partkey", F.get_json_object(ex.json_ld(html), "$.sku").alias("sku"))
+
+
+@query("P9_P10_embedded_json", "select p_partkey, case when p_partkey % 5 > 0 then p_partkey::varchar end as id, case when p_partkey % 5 > 0 then '}{ ' || p_name end as note from part")
+def embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = F.concat(F.lit('{"a":{"b":[1,{}]},"note":"}{ '), "p_name", F.lit('","id":'), _number(), F.lit("}"))
+    html = F.concat(F.lit('<script id="__NEXT_DATA__" type="x">'), F.when(F.col("p_partkey") % 5 > 0, body).otherwise('{"id":'), F.lit("</script>{}"))
+    found = ex.embedded_json(html, 'id="__NEXT_DATA__"')
+    return _parts(spark, sf_dir).select("p_partkey", found.alias("body")).select("p_partkey", F.get_json_object("body", "$.id").alias("id"), F.get_json_object("body", "$.note").alias("note"))
+
+
+@query("P12_P15_crumbs_and_titles", """select p_partkey, p_brand as tail, p_name || ' & more' as previous, p_brand as deepest, p_name || ' & Co' as title,
+  case when p_partkey % 2 = 0 then 'https://shop.example/i/' else 'https://img/' end || p_partkey as image from part""")
+def crumb_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = ex.unescape(F.concat(F.lit("Top &gt; "), "p_name", F.lit(" &#62; "), "p_brand", F.lit(" ")))
+    html = F.concat(F.lit('<a href="/">Top</a><a class="c" href="/x"> '), "p_name", F.lit(' &amp; more</a><a href="/y">'), "p_brand", F.lit("</a>"))
+    title = ex.without_suffix(ex.unescape(F.concat("p_name", F.lit(" &amp; Co - SHOP "))), "Shop")
+    even = F.concat(F.lit('<meta property="og:image" content="/i/'), _number(), F.lit('"/>'))
+    odd = F.concat(F.lit('<META content="https://img/'), _number(), F.lit('" property="og:image">'))
+    image = ex.og_image(F.when(F.col("p_partkey") % 2 == 0, even).otherwise(odd), "https://shop.example")
+    crumbs = ex.breadcrumbs(html)
+    return _parts(spark, sf_dir).select("p_partkey", ex.path_tail(path).alias("tail"), ex.second_to_last(crumbs).alias("previous"), ex.deepest(crumbs).alias("deepest"), title.alias("title"), image.alias("image"))
+
+
+@query("P17_P18_P25_attributes", """select p_partkey, p_brand as brand, 'M' || p_partkey as mpn, case when p_partkey % 3 = 0 then lpad(p_partkey::varchar, 13, '0') end as ean from part""")
+def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    value = lambda v: F.array(F.struct(v.alias("value")))
+    listed = F.array(F.struct(F.lit("size").alias("identifier"), value(F.lit("1")).alias("values")), F.struct(F.lit("brand").alias("identifier"), value(F.col("p_brand")).alias("values")))
+    labels = F.array(F.struct(F.lit(1).alias("id"), F.lit("Colour").alias("label")), F.struct(F.lit(2).alias("id"), F.lit(" MPN").alias("label")), F.struct(F.lit(3).alias("id"), F.lit("Part No").alias("label")))
+    values = F.array(*[F.struct(F.lit(i).alias("id"), v.alias("value")) for i, v in ((1, F.lit("red")), (2, F.lit("  ")), (3, F.concat(F.lit(" M"), _number())))])
+    own = F.when(F.col("p_partkey") % 3 == 0, F.lpad(_number(), 13, "0")).when(F.col("p_partkey") % 3 == 1, "1234567").otherwise("12345678x")
+    specs = F.array(F.struct(F.lit("Weight").alias("name"), F.lit("12345678").alias("value")), F.struct(F.lit("EAN").alias("name"), own.alias("value")), F.struct(F.lit("ean").alias("name"), F.lit("99999999").alias("value")))
+    return _parts(spark, sf_dir).select("p_partkey", ex.attribute(listed, "brand").alias("brand"), ex.labelled_value(values, labels, ("mpn", "part no")).alias("mpn"), ex.ean_from_specs(specs).alias("ean"))
+
+
+@query("P21_P22_P24_availability", """select p_partkey, p_partkey % 4 = 0 as orderable, p_size % 4 in (0, 1) as listed, p_partkey % 3 = 1 as by_status from part""")
+def availability_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, n = F.col("p_partkey") % 4, F.col("p_size") % 4
+    buyable = F.when(k < 2, "True").when(k == 2, "false")
+    flag = F.when(k == 1, "false")
+    text, count = F.when(n == 0, " In Stock ").when(n == 2, "sold out"), F.when(n == 1, 2).when(n == 3, 0)
+    status = F.when(F.col("p_partkey") % 3 == 1, "LAST_PIECES").when(F.col("p_partkey") % 3 == 2, "GONE")
+    return _parts(spark, sf_dir).select("p_partkey", ex.orderable(buyable, flag).alias("orderable"), ex.available_text(text, count, ("in stock",)).alias("listed"), ex.status_available(status).alias("by_status"))
+
+
+@query("N21_fingerprint", "select p_partkey, 'thikipsomi' || regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') as fp from part")
+def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _parts(spark, sf_dir).select("p_partkey", tx.fingerprint(F.concat(F.lit("Θήκη, ψωμί: "), "p_name")).alias("fp"))
+
+
+@query("N23_percent", "select p_type, case when count(*) filter (where p_size = 0) = 0 then '0.0%' end as none, '100.0%' as every from part group by p_type")
+def percents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = _parts(spark, sf_dir).groupBy("p_type").agg(F.count(F.when(F.col("p_size") == 0, 1)).alias("zero"), F.count("*").alias("n"))
+    return counted.select("p_type", tx.percent(F.col("n"), F.col("zero")).alias("none"), tx.percent(F.col("n"), F.col("n")).alias("every"))
+
+
+# --- sources and sinks: files written to the scratch folder and read again
+def _written(spark: SparkSession, name: str) -> str:
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("S1_S3_store_files", "select 'n' as store, n_nationkey::varchar as store_product_id, n_name as title, (n_nationkey + 0.5)::double as price, cast(null as varchar) as ean from nation")
+def store_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON array of the 25 nations, beside a missing file."""
+    row = F.struct(F.lit("n").alias("store"), F.col("n_nationkey").cast("string").alias("store_product_id"), F.col("n_name").alias("title"), (F.col("n_nationkey") + 0.5).alias("price"))
+    path = _written(spark, "store-file")
+    ad.table(spark, sf_dir, "nation").agg(F.to_json(F.collect_list(row)).alias("value")).write.text(path)
+    found = rd.store_files(spark, [path, f"{path}-missing"])
+    return found.select("store", "store_product_id", "title", F.col("price").cast("double").alias("price"), "ean")
+
+
+@query("S4_F2_category_map", """select 's' || (p_partkey % 3) as store, p_type as raw_product_type, case when max(p_partkey) % 2 = 0 then 'even' else 'odd' end as category
+  from part where p_partkey % 7 <> 0 group by 1, 2""")
+def category_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey")
+    category = F.when(k % 7 == 0, " ").when(k % 2 == 0, " even").otherwise("odd ")
+    store, kind = F.concat(F.lit(" s"), (k % 3).cast("string")), F.concat("p_type", F.lit(" "))
+    return rd.category_map(_parts(spark, sf_dir).select(store.alias("store"), kind.alias("raw_product_type"), category.alias("canonical_category"), k.alias("ordinal")), ("even", "odd"))
+
+
+@query("S5_csv_sink", "select c_custkey, c_name || ', \"' || c_mktsegment || '\"' as label from customer")
+def csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _written(spark, "csv")
+    label = F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('"'))
+    rd.write_csv(ad.table(spark, sf_dir, "customer").select("c_custkey", label.alias("label")), path)
+    return spark.read.schema("c_custkey bigint, label string").option("header", True).csv(path)
+
+
+@query("S12_json_sink", "select s_suppkey, case when s_suppkey % 3 = 0 then null else s_name || ' é' end as label, s_acctbal as price from supplier")
+def json_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _written(spark, "json")
+    label = F.when(F.col("s_suppkey") % 3 != 0, F.concat("s_name", F.lit(" é")))
+    rd.write_json(ad.table(spark, sf_dir, "supplier").select("s_suppkey", label.alias("label"), F.col("s_acctbal").alias("price")), path)
+    return spark.read.schema("s_suppkey bigint, label string, price double").json(path)
+
+
+@query("S8_sitemap", """select url, min(ordinal) as ordinal, arg_min(pos, ordinal) as pos from (
+  select 'https://p/' || (p_partkey % 500) as url, p_partkey as ordinal, 0 as pos from part union all select 'https://q/' || p_partkey, p_partkey, 1 from part) group by url""")
+def sitemap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loc = lambda host, n: F.concat(F.lit(f"<url><loc> https://{host}/"), n.cast("string"), F.lit("</loc></url>"))
+    body = F.concat(F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), loc("p", F.col("p_partkey") % 500), loc("q", F.col("p_partkey")), F.lit("</urlset>"))
+    return rd.sitemap_urls(_parts(spark, sf_dir).select(F.col("p_partkey").alias("ordinal"), body.alias("body")))
+
+
+@query("S9_gzip_or_plain", "select n_name as line, 2 as files from nation")
+def gzip_or_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 25 nations as gzip and as plain text, read by content."""
+    names, path = ad.table(spark, sf_dir, "nation").select("n_name"), _written(spark, "mixed")
+    names.write.option("compression", "gzip").text(f"{path}/zipped")
+    names.write.text(f"{path}/plain")
+    files = spark.read.format("binaryFile").load([f"{path}/zipped", f"{path}/plain"])
+    lines = rd.maybe_gzip(files).select("path", F.explode(F.split("body", "\n")).alias("line")).filter("line <> ''")
+    return lines.groupBy("line").agg(F.count_distinct(F.element_at(F.split("path", "/"), -2)).cast("int").alias("files"))
+
+
+@query("S10_pages_until_empty", """select 'a' || (c_custkey % 50) as id, 'v' || min(c_custkey) as v from customer where c_custkey < 97 group by 1
+  union all select 'b' || c_custkey, 'w' || c_custkey from customer where c_custkey < 97""")
+def paginated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey").cast("string")
+    item = lambda a, b: F.struct(a.alias("id"), b.alias("v"))
+    both = F.array(item(F.concat(F.lit("a"), (F.col("c_custkey") % 50).cast("string")), F.concat(F.lit("v"), k)), item(F.concat(F.lit("b"), k), F.concat(F.lit("w"), k)))
+    pages = ad.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("page"), F.when(F.col("c_custkey") % 100 != 97, both).alias("items"))
+    return rd.pages_until_empty(pages).select("id", F.col("item.v").alias("v"))
+
+
+@query("S11_category_leaves", """select p_partkey as id, (p_partkey % 5)::varchar as level from part p
+  where p_partkey % 5 <> 0 and not exists (select 1 from part c where c.p_partkey // 10 = p.p_partkey)""")
+def category_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey")
+    nodes = _parts(spark, sf_dir).select(k.alias("id"), F.when(k >= 10, F.floor(k / 10)).alias("parent"), (k % 5).cast("string").alias("level"))
+    return rd.leaf_categories(nodes)
+
+
+# --- sets and edge tests
+@query("J15_J16_O3_inner_edges", ad.SQL_CLUSTERS + """, hubs as (select offer_idx, component, min(offer_idx) over (partition by mpn_root_key) as hub from cl where mpn_root_key is not null)
+  select component, count(*) as edges from hubs where hub <> offer_idx group by component""")
+def inner_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First-tier edges whose two offers ended in one cluster."""
+    of = ad.clustered(spark, sf_dir).select("offer_idx", "component")
+    sides = tr.star_edges(tr.mpn_root_keys(ad.offers(spark, sf_dir))).select("src", "dst")
+    for side in ("src", "dst"):
+        sides = sides.join(of.select(F.col("offer_idx").alias(side), F.col("component").alias(f"{side}_component")), side)
+    return sides.filter("src_component = dst_component").groupBy(F.col("src_component").alias("component")).agg(F.count("*").alias("edges"))
+
+
+@query("J10_new_id_by_key", _SQL_IDENTITY + ", fresh as (select component from res where resolution = 'new') select component, 5000000 + row_number() over (order by component) - 1 as product_id from fresh")
+def new_id_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fresh = _decisions(spark, sf_dir).filter("resolution = 'new'").select("component")
+    return fresh.join(ct.new_ids(fresh, 5_000_000).select("component", "product_id"), "component").select("component", "product_id")
+
+
+@query("O2_O4_O5_sets", f"{ad.SQL_OFFERS} select distinct category, 'all' as part from o where category is not null union all select 's0 only', store from o group by store having store <> 's0'")
+def sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = ad.offers(spark, sf_dir)
+    stores = o.select(F.lit("s0 only").alias("category"), F.col("store").alias("part")).distinct()
+    rest = stores.join(stores.filter("part = 's0'"), ["category", "part"], "left_anti")
+    return o.filter("category is not null").select("category", F.lit("all").alias("part")).distinct().unionByName(rest)
+
+
+@query("F8_F9_single_block_codes", f"{ad.SQL_CODES} select code, count(*) as blocks from (select distinct code, c, b from el where b not in ('', chr(1))) group by code having count(*) = 1")
+def single_block_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = ad.offers(spark, sf_dir).filter("effective_brand <> ''")
+    return tr.block_spread(o).filter("spread = 1").select("code", F.col("spread").alias("blocks"))
+
+
+@query("U9_committed_snapshot", f"{ad.SQL_OFFERS} select store, count(*) as n from o group by store")
+def committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _written(spark, "commit")
+    ct.commit({"offers": ad.offers(spark, sf_dir).select(*ig.KEY)}, root)
+    return spark.read.parquet(f"{root}/offers").groupBy("store").agg(F.count("*").alias("n"))
