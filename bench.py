@@ -44,7 +44,7 @@ def main() -> None:
         state["clusters"] = materialize(tiers.clusters(state["offers"], state["edges"]), "bench-clusters")
 
     noop(spark.read.parquet(f"{sf_dir}/region.parquet"))
-    timed("ingest_upsert", lambda: noop(catalog_queries.QUERIES["U1_U3_upsert"](spark, sf_dir)))
+    timed("ingest_upsert", lambda: noop(catalog_queries.QUERIES["U1_U3_J3_upsert"](spark, sf_dir)))
     timed("enrich", enriched)
     timed("cluster", clustered)
     timed("match_keys", lambda: noop(resolve.match_keys(state["clusters"], resolve.contributions(state["clusters"], state["edges"]))))

@@ -183,8 +183,28 @@ def variant_title(product: Column, variant: Column) -> Column:
     return F.when(plain, product).otherwise(F.concat(product, F.lit(" – "), variant))
 
 
+# Statuses that can be ordered.
 STATUS_AVAILABLE = ("IMMEDIATELY_AVAILABLE", "LAST_PIECES", "ON_ORDER")
 
 
 def status_available(status: Column) -> Column:
     return F.coalesce(status.isin(*STATUS_AVAILABLE), F.lit(False))
+
+
+def product_url(base: str, path: Column, part: Column) -> Column:
+    """The address of a relative path, else that of the part number."""
+    return F.concat(F.lit(base + "/"), F.coalesce(F.nullif(path, F.lit("")), F.concat(F.lit("product/"), part)))
+
+
+def image_or(url: Column, prefix: str, part: Column, suffix: str) -> Column:
+    """The image address, else one made of the part number."""
+    return F.coalesce(F.nullif(url, F.lit("")), F.concat(F.lit(prefix), part, F.lit(suffix)))
+
+
+def retry_after(value: Column, now: Column) -> Column:
+    """Seconds to wait by a Retry-After value: seconds or an HTTP date; null if unreadable or past."""
+    seconds = F.trim(value).try_cast("double")
+    day = F.concat(F.regexp_replace(F.trim(value), "^[A-Za-z]{3}, | GMT$", ""), F.lit(" +0000"))
+    until = F.try_to_timestamp(day, F.lit("d MMM yyyy HH:mm:ss xx"))
+    wait = F.coalesce(seconds, (F.unix_micros(until) - F.unix_micros(now)) / 1e6)
+    return F.when(~F.isnan(wait) & (wait > 0), wait)

@@ -82,10 +82,18 @@ def counters(staging: DataFrame, state: DataFrame) -> DataFrame:
     return done.join(skipped, "store", "left").withColumn("skipped", F.coalesce("skipped", F.lit(0)))
 
 
-def sane_stores(counts: DataFrame, expected: DataFrame) -> DataFrame:
-    """Stores whose file holds at least half of the expected rows."""
-    joined = expected.join(counts, "store", "left").withColumn("count", F.coalesce("count", F.lit(0)))
-    return joined.withColumn("passed", F.col("count") >= F.floor(F.col("expected") / 2))
+def sane_stores(counts: DataFrame, expected: DataFrame, exit_codes: DataFrame | None = None) -> DataFrame:
+    """Stores whose file holds at least half of the expected rows.
+
+    With ``exit_codes(store, code)`` only those count whose code is 0; others have no rows.
+    """
+    joined = expected.join(counts, "store", "left")
+    ran = F.lit(True)
+    if exit_codes is not None:
+        joined = joined.join(exit_codes.select("store", "code"), "store", "left")
+        ran = F.coalesce(F.col("code") == 0, F.lit(False))
+    joined = joined.withColumn("count", F.when(ran, F.coalesce("count", F.lit(0))).otherwise(0))
+    return joined.withColumn("passed", ran & (F.col("count") >= F.floor(F.col("expected") / 2))).drop("code")
 
 
 def phase_two(rows: DataFrame, candidates: DataFrame, mapped: DataFrame, statuses: DataFrame, most: int) -> DataFrame:

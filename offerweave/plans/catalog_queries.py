@@ -21,6 +21,7 @@ from offerweave.operators import tiers as tr
 from offerweave.plans import adapter as ad
 from offerweave.plans.scratch import scratch_root
 from offerweave.sources import readers as rd
+from offerweave.sources import state as st
 
 FLAGSHIP = "G4_resolved_products"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,7 +47,7 @@ def on_offers(name: str, sql: str, make: Callable[[DataFrame], DataFrame], base:
 on_offers("S7_W1_ordered_scan", "select offer_idx, store, store_product_id from o", lambda o: o.select("offer_idx", "store", "store_product_id"))
 on_offers("N1_N3_brand", "select offer_idx, brand_norm from o", lambda o: o.select("offer_idx", "brand_norm"))
 on_offers("N8_title_norm", "select offer_idx, title_norm from o", lambda o: o.select("offer_idx", "title_norm"))
-on_offers("N10_N15_keys", "select offer_idx, ean_key, mpn_root_key, mpn_key, title_key from o", lambda o: o.select("offer_idx", "ean_key", "mpn_root_key", "mpn_key", "title_key"))
+on_offers("N10_N13_N14_N15_keys", "select offer_idx, ean_key, mpn_root_key, mpn_key, title_key from o", lambda o: o.select("offer_idx", "ean_key", "mpn_root_key", "mpn_key", "title_key"))
 on_offers("N16_model_codes", "select offer_idx, coalesce(good_code, '') as codes from o", lambda o: o.select("offer_idx", F.array_join("model_codes", ",").alias("codes")))
 on_offers("N18_N20_effective_brand", "select offer_idx, brand_from_title, is_suspicious_brand, effective_brand from o", lambda o: o.select("offer_idx", "brand_from_title", "is_suspicious_brand", "effective_brand"))
 on_offers("N12_title_hash", "select offer_idx, substr(sha1(title_norm), 1, 12) as h from o", lambda o: o.select("offer_idx", tx.title_hash(F.col("title_norm")).alias("h")))
@@ -58,7 +59,7 @@ on_offers("P16_first_word", "select distinct title, split_part(title, ' ', 1) as
 on_offers("P20_positive_price", "select offer_idx, case when price > 500 then price::double end as price from o", lambda o: o.select("offer_idx", (ex.positive(F.col("price") - 500) + 500).cast("double").alias("price")))
 on_offers("S2_copy_text", "select store || chr(9) || store_product_id || chr(9) || coalesce(vendor, '\\N') || chr(9) || case when available then 't' else 'f' end as line from o", lambda o: rd.copy_text(o, ["store", "store_product_id", "vendor", "available"]))
 on_offers("F4_reliable_mpn", "select offer_idx, mpn_key as key from o where identifier_source in ('sku', 'api') and mpn_key is not null", tr.mpn_keys)
-on_offers("F5_F7_code_filters", "select distinct code, code = '770nc' as suffix from o where good_code is not null", lambda o: o.select(F.explode("model_codes").alias("code")).distinct().select("code", tx.is_series_suffix(F.col("code")).alias("suffix")))
+on_offers("F5_F6_F7_code_filters", "select distinct code, code = '770nc' as suffix from o where good_code is not null", lambda o: o.select(F.explode("model_codes").alias("code")).distinct().select("code", tx.is_series_suffix(F.col("code")).alias("suffix")))
 on_offers("F12_multi_store_keys", "select mpn_root_key as key, count(distinct store) as stores from o where mpn_root_key is not null group by 1 having count(distinct store) >= 2", lambda o: o.filter("mpn_root_key is not null").groupBy(F.col("mpn_root_key").alias("key")).agg(F.count_distinct("store").alias("stores")).filter("stores >= 2"))
 
 # --- groups, codes, edges
@@ -169,7 +170,7 @@ def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rep.withColumn("min_price", F.col("min_price").cast("double")).withColumn("max_price", F.col("max_price").cast("double")).select(*_REP)
 
 
-query("A13_representatives", _SQL_REP + f" select {', '.join(_REP)} from prod")(_products)
+query("A13_W4_representatives", _SQL_REP + f" select {', '.join(_REP)} from prod")(_products)
 query(FLAGSHIP, _SQL_REP + " select component, brand, category, offer_count, store_count, min_price, max_price from prod")(lambda s, d: _products(s, d).select("component", "brand", "category", "offer_count", "store_count", "min_price", "max_price"))
 query("A36_review_reasons", _SQL_REP + " select 'cross-category' as reason, count(*) as n from prod where needs_review having count(*) > 0")(lambda s, d: rp.reason_counts(_products(s, d).filter("needs_review")))
 
@@ -245,7 +246,7 @@ _SQL_AFTER = ad.SQL_SNAPSHOTS + """, st as (
 )"""
 
 
-@query("U1_U3_upsert", _SQL_AFTER + " select store, store_product_id, price, available, change from st")
+@query("U1_U3_J3_upsert", _SQL_AFTER + " select store, store_product_id, price, available, change from st")
 def upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _after(spark, sf_dir)[1].select(*ig.KEY, F.col("current_price").cast("double").alias("price"), "available", "change")
 
@@ -303,7 +304,7 @@ def identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decisions(spark, sf_dir).select("component", "resolution", "product_id", F.array_join("absorbed", ",").alias("absorbed"))
 
 
-@query("U6_collision_merge", _SQL_IDENTITY + """, sz as (select component, resolution, product_id, count(*) as size from cl join res using (component) group by all),
+@query("U6_W5_collision_merge", _SQL_IDENTITY + """, sz as (select component, resolution, product_id, count(*) as size from cl join res using (component) group by all),
   w as (select *, first_value(component) over (partition by coalesce(product_id, -component - 1) order by size desc, component) as winner, count(*) over (partition by coalesce(product_id, -component - 1)) as merged from sz)
   select winner as component, any_value(merged) as clusters_merged, sum(size)::bigint as offers from w group by 1""")
 def collision_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -524,7 +525,7 @@ def embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parts(spark, sf_dir).select("p_partkey", found.alias("body")).select("p_partkey", F.get_json_object("body", "$.id").alias("id"), F.get_json_object("body", "$.note").alias("note"))
 
 
-@query("P12_P15_crumbs_and_titles", """select p_partkey, p_brand as tail, p_name || ' & more' as previous, p_brand as deepest, p_name || ' & Co' as title,
+@query("P12_P13_P14_P15_crumbs_and_titles", """select p_partkey, p_brand as tail, p_name || ' & more' as previous, p_brand as deepest, p_name || ' & Co' as title,
   case when p_partkey % 2 = 0 then 'https://shop.example/i/' else 'https://img/' end || p_partkey as image from part""")
 def crumb_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = ex.unescape(F.concat(F.lit("Top &gt; "), "p_name", F.lit(" &#62; "), "p_brand", F.lit(" ")))
@@ -683,3 +684,107 @@ def committed(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _written(spark, "commit")
     ct.commit({"offers": ad.offers(spark, sf_dir).select(*ig.KEY)}, root)
     return spark.read.parquet(f"{root}/offers").groupBy("store").agg(F.count("*").alias("n"))
+
+
+@query("S6_csv_in_place", "select p_type as store, p_name as raw_product_type, count(*) as product_count, 'seen twice' as canonical_category, count(*) as kept from part group by 1, 2")
+def csv_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV that is filled twice, beside the backup of its first state."""
+    path, header = _written(spark, "map"), ["store", "raw_product_type", "product_count", "canonical_category"]
+    counted = _parts(spark, sf_dir).groupBy(F.col("p_type").alias("store"), F.col("p_name").alias("raw_product_type")).agg(F.count("*").alias("product_count"))
+    rd.write_csv(counted.withColumn("canonical_category", F.lit(None).cast("string")), path)
+    again = F.when(F.col("canonical_category").isNull(), "seen").otherwise(F.concat("canonical_category", F.lit(" twice")))
+    for _ in range(2):
+        rd.update_csv(spark, path, header, lambda df: df.withColumn("canonical_category", again))
+    read = lambda p: spark.read.schema("store string, raw_product_type string, product_count bigint, canonical_category string").option("header", True).csv(p)
+    kept = read(f"{path}.bak").filter("canonical_category is null").select("store", "raw_product_type", F.col("product_count").alias("kept"))
+    return read(path).join(kept, ["store", "raw_product_type"])
+
+
+@query("S13_side_sink", f"{ad.SQL_OFFERS} select store, store_product_id, case when k % 19 = 0 then 'second' else title end as title from o")
+def side_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rows of some keys arrive; the later one replaces what the sink held."""
+    held = ad.offers(spark, sf_dir).select(*ig.KEY, "title")
+    some = held.filter(F.split("store_product_id", "-")[0].cast("bigint") % 19 == 0).drop("title")
+    arrived = F.explode(F.array(*[F.struct(F.lit(i).alias("ordinal"), F.lit(v).alias("title")) for i, v in ((1, "first"), (2, "second"))]))
+    return rd.side_sink(held, some.select(*ig.KEY, arrived.alias("x")).select(*ig.KEY, "x.*"), ig.KEY)
+
+
+@query("U10_state_tables", """select * from (values ('category_map', 3), ('store_products', 21), ('price_history', 4), ('products', 19), ('merged_products', 3), ('price_subscriptions', 2), ('raw_products', 15)) t(name, columns),
+  (select 'unmatched' as match_method, 0 as store_count, 17 as added, count(*) as products from nation)""")
+def state_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables created twice around an older table of products, which reads with its later columns."""
+    root = _written(spark, "state")
+    ad.table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("brand")).write.parquet(f"{root}/products")
+    made = [*st.ensure_tables(spark, root), *st.ensure_tables(spark, root)]
+    width = {name: len(st.read_table(spark, root, name).columns) for name in ["products", *made]}
+    products = st.read_table(spark, root, "products").groupBy("match_method", "store_count").agg(F.count("*").alias("products"))
+    return products.select(F.explode(F.create_map(*[F.lit(x) for pair in width.items() for x in pair])).alias("name", "columns"), "match_method", "store_count", F.lit(len(st.missing_columns(spark, root, "products"))).alias("added"), "products")
+
+
+@query("J18_exit_codes", f"""{ad.SQL_OFFERS} select store, case when store in ('s1', 's5') then 0 else count(*) end as n, store not in ('s1', 's5') as passed from o group by store""")
+def exit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store whose scraper failed, and one that left no exit code, do not pass."""
+    counts = ad.offers(spark, sf_dir).groupBy("store").agg(F.count("*").alias("count"))
+    codes = counts.filter("store <> 's5'").select("store", F.when(F.col("store") == "s1", 2).otherwise(0).alias("code"))
+    found = ig.sane_stores(counts, counts.select("store", F.col("count").alias("expected")), codes)
+    return found.select("store", F.col("count").alias("n"), "passed")
+
+
+# --- scalar rules, each on texts made for it
+@query("N2_greek_left", "select p_partkey, p_partkey % 2 = 1 as left_over from part")
+def greek_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lead = F.when(F.col("p_partkey") % 2 == 1, "Φως ").otherwise("ΑΒΕ μ ")
+    return _parts(spark, sf_dir).select("p_partkey", tx.has_greek_left(F.concat(lead, "p_name")).alias("left_over"))
+
+
+@query("N5_units", "select p_partkey, (p_size * 1024) || 'gb, ' || p_size || '.5in 7gb ' || p_size || '.5l 33ml' as units from part")
+def units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("p_size").cast("string")
+    text = F.concat(n, F.lit(" TB, "), n, F.lit(',5" 007 GB '), n, F.lit(".5 L 33 ml"))
+    return _parts(spark, sf_dir).select("p_partkey", tx.normalize_units(text).alias("units"))
+
+
+@query("N6_N7_phrases", "select p_partkey, 'case ' || p_partkey || ' unclear onliner' as plain from part")
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat(F.lit("case space gray "), _number(), F.lit(" natural titanium | unclear buy now – onliner λευκο"))
+    return _parts(spark, sf_dir).select("p_partkey", tx.squeeze(tx.strip_noise(tx.strip_color(text))).alias("plain"))
+
+
+@query("N9_brand_removal", "select p_partkey, case when p_partkey % 2 = 0 then 'kettle ' else 'galaxy s' end || p_partkey as plain from part")
+def brand_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    even = F.col("p_partkey") % 2 == 0
+    brand = F.when(even, "De'Longhi").otherwise("Samsung")
+    text = F.concat(F.when(even, "de'longhi belonghi | kettle ").otherwise("samsung | samsungelectronics galaxy s"), _number(), F.when(even, " | de longhi").otherwise(""))
+    return _parts(spark, sf_dir).select("p_partkey", tx.squeeze(F.replace(tx.remove_brand(text, brand), F.lit("|"), F.lit(" "))).alias("plain"))
+
+
+@query("N11_ean", """select p_partkey, case p_partkey % 3 when 0 then '5901234' || lpad(p_partkey::varchar, 6, '0') when 1 then '12345678' end as ean from part""")
+def eans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey") % 3
+    raw = F.when(k == 0, F.concat(F.lit("5901-234-"), F.lpad(_number(), 6, "0"))).when(k == 1, " 1234 5678x").otherwise("12345")
+    return _parts(spark, sf_dir).select("p_partkey", tx.clean_ean(raw).alias("ean"))
+
+
+@query("N17_N19_suspicious_brand", "select p_partkey, p_partkey % 4 in (0, 2) as suspicious from part")
+def suspicious(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey") % 4
+    brand = F.when(k == 0, " ").when(k == 1, "APPLE").when(k == 2, "SSJ").otherwise("sencor")
+    title = F.when(k < 3, F.concat(F.lit("Sencor "), "p_name")).otherwise(F.concat(F.lit("SENCOR "), "p_name"))
+    return _parts(spark, sf_dir).select("p_partkey", tx.suspicious_brand(brand, tx.brand_from_title(title)).alias("suspicious"))
+
+
+@query("N25_retry_after", "select p_partkey, case p_partkey % 6 when 0 then p_size + 0.5 when 3 then 60.0 end::double as seconds from part")
+def retry_waits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seconds, no wait, text, a date to come, a date past, none."""
+    value = F.expr("CASE p_partkey % 6 WHEN 0 THEN concat(' ', p_size, '.5') WHEN 1 THEN '0' WHEN 2 THEN 'soon' WHEN 3 THEN 'Wed, 21 Oct 2026 07:28:00 GMT' WHEN 4 THEN 'Tue, 06 Oct 2026 07:28:00 GMT' END")
+    now = F.timestamp_micros(F.lit(1792567620000000))
+    return _parts(spark, sf_dir).select("p_partkey", ex.retry_after(value, now).alias("seconds"))
+
+
+@query("P26_addresses", """select p_partkey, 'https://shop.example/' || case when p_partkey % 2 = 0 then 'a/' || p_partkey else 'product/' || p_partkey end as url,
+  case when p_partkey % 3 = 0 then 'https://img/' || p_partkey else 'https://cdn/' || p_partkey || '-b.jpg' end as image from part""")
+def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey")
+    path = F.when(k % 2 == 0, F.concat(F.lit("a/"), _number())).when(k % 4 == 1, "")
+    image = F.when(k % 3 == 0, F.concat(F.lit("https://img/"), _number())).when(k % 3 == 1, "")
+    return _parts(spark, sf_dir).select("p_partkey", ex.product_url("https://shop.example", path, _number()).alias("url"), ex.image_or(image, "https://cdn/", _number(), "-b.jpg").alias("image"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,6 +57,34 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
+def update_csv(spark: SparkSession, path: str, header: list[str], change: Callable[[DataFrame], DataFrame]) -> None:
+    """Replace a CSV by ``change`` of it; what was there first stays as ``path.bak``.
+
+    The header must be exactly ``header`` before and after.  The new rows are written beside the
+    old ones and then take their name, so a job that fails leaves the old file.
+    """
+    held = spark.read.option("header", True).csv(path)
+    if held.columns != header:
+        raise ValueError(f"CSV header is {held.columns}, expected {header}")
+    new = change(held)
+    if new.columns != header:
+        raise ValueError(f"new CSV header is {new.columns}, expected {header}")
+    write_csv(new, f"{path}.new")
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(at(f"{path}.bak")):
+        fs.delete(at(path), True)
+    elif not fs.rename(at(path), at(f"{path}.bak")):
+        raise OSError(f"cannot keep {path} as {path}.bak")
+    if not fs.rename(at(f"{path}.new"), at(path)):
+        raise OSError(f"cannot move {path}.new to {path}")
+
+
+def side_sink(held: DataFrame, rows: DataFrame, key: list[str], order: str = "ordinal") -> DataFrame:
+    """``held`` after an upsert of ``rows``: the last row of each key replaces what was held."""
+    return merge_retry(held, last_per_key(rows, key, order).select(*held.columns), key)
+
+
 def copy_text(df: DataFrame, columns: list[str]) -> DataFrame:
     """Tab-separated lines with ``\\N`` for null, t/f for booleans and escaped backslash, tab and line ends."""
 
