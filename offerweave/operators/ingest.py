@@ -9,8 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from offerweave.plans.scratch import broadcast_if_small, materialize
+
 KEY = ["store", "store_product_id"]
 FIELDS = ["title", "vendor", "product_type", "category", "sku", "mpn", "mpn_root", "ean", "identifier_source", "current_price", "available", "image_url", "product_url"]
+BROADCAST_STORES = 10_000
 
 
 def with_category(staging: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -59,9 +62,9 @@ def mark_disappeared(state: DataFrame, scraped: DataFrame, as_of: Column, stores
     ``scraped`` are the ids before uncategorised rows go; its keys must not be null.
     """
     seen = scraped.select(*KEY).distinct().withColumn("seen", F.lit(True))
-    judged = stores.select("store").distinct().withColumn("judged", F.lit(True))
+    judged = broadcast_if_small(materialize(stores.select("store").distinct().withColumn("judged", F.lit(True)), "judged-stores"), BROADCAST_STORES)
     gone = F.col("available") & F.col("judged").isNotNull() & F.col("seen").isNull()
-    out = state.join(seen, KEY, "left").join(F.broadcast(judged), "store", "left").withColumn("gone", F.coalesce(gone, F.lit(False)))
+    out = state.join(seen, KEY, "left").join(judged, "store", "left").withColumn("gone", F.coalesce(gone, F.lit(False)))
     return (
         out.withColumn("available", F.when(F.col("gone"), F.lit(False)).otherwise(F.col("available")))
         .withColumn("last_changed_at", F.when(F.col("gone"), as_of).otherwise(F.col("last_changed_at")))
