@@ -23,8 +23,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines shared by many sites go, but for their first occurrence."""
-    return without_repeated_lines(docs)
+    """Lines shared by many sites go, however short, but for their first occurrence."""
+    return without_repeated_lines(docs, min_words=None)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

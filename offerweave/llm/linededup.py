@@ -6,6 +6,9 @@ that holds a third of all rows costs one small sketch per task.  Where the estim
 the limit, the distinct sources of just those lines are counted exactly.  Of a line that
 reaches the limit, the first occurrence (smallest doc_id, then place) stays and the others
 are removed.
+
+With ``min_words=None`` every line is judged but blank ones, those of separators and control
+characters only.  With a number, lines of fewer space-separated parts are never judged.
 """
 
 from __future__ import annotations
@@ -18,6 +21,8 @@ from offerweave.plans.scratch import broadcast_if_small, materialize
 
 MIN_SITES = 5
 MIN_WORDS = 4
+#: Matches lines that are not blank.
+NOT_BLANK = r"[^\p{Z}\p{Cc}]"
 LG_K = 12
 BROADCAST_ROWS = 500_000
 
@@ -27,18 +32,20 @@ def _line_key(line: Column) -> tuple[Column, Column]:
     return F.xxhash64(line).alias("h1"), F.xxhash64(F.lit("line"), line).alias("h2")
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """``(doc_id, source, pos, line)`` of every line that has enough words to be judged."""
+def _lines(docs: DataFrame, min_words: int | None) -> DataFrame:
+    """``(doc_id, source, pos, line)`` of every line that is judged."""
     lines = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
         F.posexplode(F.split(text_or_empty(), "\n")).alias("pos", "line"),
     )
-    return lines.filter((F.size(F.split("line", " ")) >= MIN_WORDS) & (F.length(F.trim("line")) > 0))
+    if min_words is None:
+        return lines.filter(F.col("line").rlike(NOT_BLANK))
+    return lines.filter((F.size(F.split("line", " ")) >= min_words) & (F.length(F.trim("line")) > 0))
 
 
-def spread_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+def spread_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int | None = MIN_WORDS) -> DataFrame:
     """``(h1, h2, sites, exact)`` of the lines that occur in at least ``min_sites`` sources."""
-    pairs = materialize(_lines(docs).groupBy(*_line_key(F.col("line")), "source").agg(F.count("*").alias("c")).select("h1", "h2", "source"), "line-sites")
+    pairs = materialize(_lines(docs, min_words).groupBy(*_line_key(F.col("line")), "source").agg(F.count("*").alias("c")).select("h1", "h2", "source"), "line-sites")
     sketch = F.hll_sketch_estimate(F.hll_sketch_agg("source", LG_K))
     estimates = pairs.groupBy("h1", "h2").agg(sketch.alias("sites"))
     margin = 0.5 + 4 * 1.04 / (2 ** (LG_K / 2)) * min_sites
@@ -50,24 +57,24 @@ def spread_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return sure.unionByName(counted.filter(F.col("sites") >= min_sites).withColumn("exact", F.lit(True)))
 
 
-def removed_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+def removed_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int | None = MIN_WORDS) -> DataFrame:
     """``(doc_id, places)``: the places of the lines to remove from each document that has any."""
-    common = broadcast_if_small(materialize(spread_lines(docs, min_sites).select("h1", "h2"), "spread-lines"), BROADCAST_ROWS)
-    found = materialize(_lines(docs).select("doc_id", "pos", *_line_key(F.col("line"))).join(common, ["h1", "h2"]), "occurrences")
+    common = broadcast_if_small(materialize(spread_lines(docs, min_sites, min_words).select("h1", "h2"), "spread-lines"), BROADCAST_ROWS)
+    found = materialize(_lines(docs, min_words).select("doc_id", "pos", *_line_key(F.col("line"))).join(common, ["h1", "h2"]), "occurrences")
     first = found.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "pos")).alias("first"))
     later = found.join(first, ["h1", "h2"]).filter(~F.struct("doc_id", "pos").eqNullSafe(F.col("first")))
     return later.groupBy("doc_id").agg(F.collect_set("pos").alias("places"))
 
 
-def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int | None = MIN_WORDS) -> DataFrame:
     """``docs`` with new ``text`` and ``n_chars``, and ``n_lines`` and ``n_removed`` at the end.
 
-    Lines of fewer than four space-separated parts and blank lines are never removed.  Null text
+    Blank lines and lines of fewer than ``min_words`` parts are never removed.  Null text
     stays null and has one line; a null source counts as the empty source; repeated rows lose
     the same lines; other columns are kept as they are (columns named n_lines or n_removed are
     replaced).  No rows give no rows.
     """
-    gone = removed_lines(docs, min_sites).select(F.col("doc_id").alias("__offerweave_doc"), F.col("places").alias("__offerweave_places"))
+    gone = removed_lines(docs, min_sites, min_words).select(F.col("doc_id").alias("__offerweave_doc"), F.col("places").alias("__offerweave_places"))
     both = docs.drop("n_lines", "n_removed").join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__offerweave_doc")), "left")
     lines = F.split("text", "\n")
     left = F.filter(lines, lambda x, i: ~F.array_contains("__offerweave_places", i))
@@ -81,16 +88,16 @@ def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return out.drop("__offerweave_doc", "__offerweave_places")
 
 
-def without_repeated_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int | None = MIN_WORDS) -> DataFrame:
     """``docs`` without the removed lines; documents of which nothing is left go."""
-    new = dedup_lines(docs, min_sites)
+    new = dedup_lines(docs, min_sites, min_words)
     empty = (F.col("n_removed") > 0) & (F.length(F.trim(F.coalesce("text", F.lit("")))) == 0)
     return new.filter(~empty).select(*docs.columns)
 
 
-def digest(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+def digest(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int | None = MIN_WORDS) -> DataFrame:
     """``(doc_id, n_lines, n_removed, kept_chars, kept_md5)`` per document."""
-    return dedup_lines(docs, min_sites).select(
+    return dedup_lines(docs, min_sites, min_words).select(
         "doc_id", F.col("n_lines").cast("bigint").alias("n_lines"), F.col("n_removed").cast("bigint").alias("n_removed"),
         F.length(text_or_empty()).cast("bigint").alias("kept_chars"), F.md5(text_or_empty().cast("binary")).alias("kept_md5"),
     )
@@ -117,3 +124,7 @@ lines as (
 
 ORACLE = f"""with docs0 as (select * from documents), {ORACLE_CTES}
 select doc_id, n_lines, n_removed, length(text)::bigint as kept_chars, md5(text) as kept_md5 from rebuilt"""
+
+
+#: The same with every non-blank line judged.
+ORACLE_ALL = ORACLE.replace("len(string_split(line, ' ')) >= 4 and length(trim(line)) > 0", f"regexp_matches(line, '{NOT_BLANK}')")

@@ -46,6 +46,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.digest(load(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup_all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.digest(load(spark, sf_dir, "documents"), min_words=None)
+
+
 def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(load(spark, sf_dir, "documents"))
 
@@ -62,8 +66,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_media_columns, op2_line_quality, op3_best_fit_packing, op4_benchmark_decontamination, op5_toxicity,
-        op6_warc, op7_line_dedup, op8_license_scans, op9_minhash_near_dedup, op10_token_counts,
+        op6_warc, op7_line_dedup, op7_line_dedup_all_lines, op8_license_scans, op9_minhash_near_dedup, op10_token_counts,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
-ORACLES: dict[str, str] = {"op7_line_dedup": linededup.ORACLE}
+ORACLES: dict[str, str] = {"op7_line_dedup": linededup.ORACLE, "op7_line_dedup_all_lines": linededup.ORACLE_ALL}
