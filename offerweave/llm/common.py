@@ -69,6 +69,12 @@ def crc_mod(name: str, mod: int) -> Column:
     return F.crc32(F.col(name).cast("string").cast("binary")) % mod
 
 
+def word_count(text: Column) -> Column:
+    """How many words ``word_shingles`` sees."""
+    clean = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
+    return _once(clean, lambda c: F.when(c == "", 0).otherwise(F.size(F.split(c, " "))))
+
+
 def word_shingles(text: Column, size: int = 5) -> Column:
     """Hashes of all ``size``-word windows, in order; fewer words give one, no words none.
 

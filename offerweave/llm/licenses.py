@@ -9,6 +9,9 @@ at least 0.75 of the template's shingles are contained in the stretch around the
 The band join is pushed down: a window can agree with a template in a band only if it
 holds the template's smallest shingle of that band.  Those shingles are looked up in all
 texts, and only windows that hold one are signed.
+
+A notice of fewer than five words is one shingle of its own length.  Texts are cut into
+shingles of each such length that occurs, and the join on the shingle is the exact answer.
 """
 
 from __future__ import annotations
@@ -16,11 +19,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerweave.llm.common import word_shingles
+from offerweave.llm.common import word_count, word_shingles
 from offerweave.plans.scratch import broadcast_if_small, materialize
 
 BANDS = 16
 LIMIT = 0.75
+WORDS = 5
 BROADCAST_ROWS = 200_000
 
 #: Well-known notices; a longer list can be given as a table.
@@ -36,6 +40,7 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "Rights-line": "All rights reserved.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
@@ -56,16 +61,33 @@ def _lowest_shingle(shingles: Column, k: int) -> Column:
     return F.array_min(F.transform(shingles, lambda x: F.struct(F.xxhash64(x, F.lit(k)).alias("h"), x.alias("x"))))["x"]
 
 
+def _short_notices(docs: DataFrame, notices: DataFrame) -> DataFrame | None:
+    """``(doc_id, license, containment, start)`` for notices of fewer than five words; None if there are none."""
+    short = notices.select("license", "text", word_count(F.col("text")).alias("words")).filter((F.col("words") > 0) & (F.col("words") < WORDS))
+    sizes = [r.words for r in short.select("words").distinct().collect()]  # at most four
+    out = None
+    for size in sizes:
+        known = materialize(short.filter(F.col("words") == size).select("license", F.get(word_shingles(F.col("text"), size), F.lit(0)).alias("seed")).distinct(), "short-notices")
+        texts = docs.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
+        texts = texts.filter(word_count(F.col("text")) >= size).select("doc_id", F.posexplode(word_shingles(F.col("text"), size)).alias("pos", "seed"))
+        found = texts.join(broadcast_if_small(known, BROADCAST_ROWS), "seed").groupBy("doc_id", "license").agg(F.min("pos").alias("start"))
+        found = found.select("doc_id", "license", F.lit(1.0).alias("containment"), "start")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def scan_licenses(docs: DataFrame, notices: DataFrame | None = None) -> DataFrame:
     """``(doc_id, license, containment, start_shingle)`` for each document and notice that it holds.
 
     ``notices(license, text)`` default to the built-in ones; a notice without words matches
-    nothing.  The best window counts, the earliest of equals.  Null, empty and blank texts
+    nothing.  The best window counts, the earliest of equals.  A notice of fewer than five words
+    is held wherever all its words follow each other.  Null, empty and blank texts
     match nothing, a text shorter than a notice is one window.  Repeated rows count once; a
     null doc_id is left out; extra columns are ignored; no rows give no rows.
     """
     notices = templates(docs.sparkSession) if notices is None else notices
-    known = notices.select("license", F.array_distinct(word_shingles(F.col("text"))).alias("shingles")).filter(F.size("shingles") > 0).withColumn("n", F.size("shingles"))
+    brief = _short_notices(docs, notices)
+    known = notices.filter(word_count(F.col("text")) >= WORDS).select("license", F.array_distinct(word_shingles(F.col("text"))).alias("shingles")).filter(F.size("shingles") > 0).withColumn("n", F.size("shingles"))
     known = materialize(known.withColumn("lows", F.array(*[_low(F.col("shingles"), k) for k in range(BANDS)])), "notices")
     smallest = F.array(*[_lowest_shingle(F.col("shingles"), k) for k in range(BANDS)])
     seeds = materialize(known.select("n", F.explode(F.array_distinct(smallest)).alias("seed")).distinct(), "notice-seeds")
@@ -89,5 +111,7 @@ def scan_licenses(docs: DataFrame, notices: DataFrame | None = None) -> DataFram
     near = probes.join(broadcast_if_small(index, BROADCAST_ROWS), ["band", "low"]).groupBy("doc_id", "license", "start").agg(F.first("around").alias("around"))
     bodies = broadcast_if_small(known.select("license", "shingles", "n"), BROADCAST_ROWS // 10)
     share = F.size(F.array_intersect("shingles", "around")) / F.col("n")
-    best = near.join(bodies, "license").withColumn("containment", share).filter(F.col("containment") >= LIMIT).groupBy("doc_id", "license").agg(F.max(F.struct("containment", (-F.col("start")).alias("s"))).alias("x"))
+    held = near.join(bodies, "license").withColumn("containment", share).filter(F.col("containment") >= LIMIT).select("doc_id", "license", "containment", "start")
+    held = held if brief is None else held.unionByName(brief)
+    best = held.groupBy("doc_id", "license").agg(F.max(F.struct("containment", (-F.col("start")).alias("s"))).alias("x"))
     return best.select("doc_id", "license", F.col("x.containment").alias("containment"), (-F.col("x.s")).cast("bigint").alias("start_shingle"))
