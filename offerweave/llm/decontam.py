@@ -12,15 +12,18 @@ Not every window needs a fingerprint.  A window similar to an item lacks at most
 of the item's shingles, so it holds at least one of any quarter-and-one of them.  Those
 seeds are looked up in all documents first; only windows that hold a seed are signed.
 
-Items longer than ``MAX_WINDOW`` shingles are searched as consecutive parts of that size; a
-document is contaminated by an item if it is by one of its parts.
+Items longer than ``MAX_WINDOW`` shingles have no fingerprint.  All places of their shingles
+are looked up instead, and the similarity of every item-sized window follows from these
+places exactly: an occurrence counts for the windows that hold it but not the occurrence
+that is as many occurrences earlier as the item has of that shingle, which is a range of
+window starts; summing the ranges gives the minima of all windows.
 """
 
 from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerweave.llm.common import word_shingles
@@ -71,20 +74,19 @@ def _block(fp: str, b: int) -> Column:
     return F.shiftrightunsigned(F.col(fp), at).bitwiseAND(F.lit((1 << size) - 1)).cast("int")
 
 
-def item_parts(benchmark: DataFrame) -> DataFrame:
-    """``(item_id, part, shingles, n)`` of the items that have words."""
-    items = benchmark.select("item_id", word_shingles(F.col("text")).alias("all")).filter(F.size("all") > 0)
-    parts = F.transform(F.sequence(F.lit(0), F.floor((F.size("all") - 1) / MAX_WINDOW).cast("int")), lambda i: F.slice("all", i * MAX_WINDOW + 1, MAX_WINDOW))
-    return items.select("item_id", F.posexplode(parts).alias("part", "shingles")).withColumn("n", F.size("shingles"))
+def item_shingles(benchmark: DataFrame) -> DataFrame:
+    """``(item_id, shingles, n)`` of the items that have words."""
+    items = benchmark.select("item_id", word_shingles(F.col("text")).alias("shingles")).filter(F.size("shingles") > 0)
+    return items.withColumn("n", F.size("shingles"))
 
 
-def _index(parts: DataFrame) -> DataFrame:
-    """``(block, value, ...)`` for every value within reach of each part's blocks."""
+def _index(items: DataFrame) -> DataFrame:
+    """``(block, value, ...)`` for every value within reach of each item's blocks."""
     flips = [(b, sum(1 << i for i in bits)) for b, (_, size) in enumerate(_blocks()) for r in range(_NEAR + 1) for bits in combinations(range(size), r)]
     every = F.explode(F.array(*[F.struct(F.lit(b).alias("block"), F.lit(f).alias("flip")) for b, f in flips]))
     own = F.array(*[_block("item_fp", b) for b in range(len(_SIZES))])
-    rows = parts.withColumn("item_fp", simhash(F.col("shingles"))).select("item_id", "part", "item_fp", own.alias("own"), every.alias("k"))
-    return rows.select("k.block", F.get("own", F.col("k.block")).bitwiseXOR(F.col("k.flip")).alias("value"), "item_id", "part", "item_fp")
+    rows = items.withColumn("item_fp", simhash(F.col("shingles"))).select("item_id", "item_fp", own.alias("own"), every.alias("k"))
+    return rows.select("k.block", F.get("own", F.col("k.block")).bitwiseXOR(F.col("k.flip")).alias("value"), "item_id", "item_fp")
 
 
 def _similarity(a: str, b: str) -> Column:
@@ -97,6 +99,27 @@ def _similarity(a: str, b: str) -> Column:
     return low / (F.size(a) + F.size(b) - low)
 
 
+def _long_windows(texts: DataFrame, items: DataFrame) -> DataFrame:
+    """``(doc_id, item_id, start, n, similarity)`` of item-sized windows; of each run of equal windows the first.
+
+    ``texts`` are ``(doc_id, all)``.  Everything is in proportion to the places found.
+    """
+    known = items.select("item_id", F.col("n").alias("m"), F.explode("shingles").alias("seed")).groupBy("item_id", "m", "seed").agg(F.count("*").cast("int").alias("times"))
+    known = broadcast_if_small(materialize(known, "long-items"), BROADCAST_ROWS)
+    # texts of one doc_id stay apart
+    places = texts.select("doc_id", F.xxhash64("all").alias("body"), F.size("all").alias("size"), F.posexplode("all").alias("pos", "seed")).join(known, "seed")
+    pair = ["doc_id", "body", "size", "item_id", "m"]
+    lists = places.groupBy(*pair, "seed", "times").agg(F.sort_array(F.collect_set("pos")).alias("p"))
+    earlier = lambda i: F.when(i >= F.col("times"), F.get("p", i - F.col("times")) + 1).otherwise(0)
+    ranges = F.transform("p", lambda x, i: F.struct(F.greatest(earlier(i), x - F.col("m") + 1).alias("lo"), (x + 1).alias("hi")))
+    ends = lists.select(*pair, F.explode(ranges).alias("r")).select(*pair, F.explode(F.array(F.struct(F.col("r.lo").alias("start"), F.lit(1).alias("d")), F.struct(F.col("r.hi").alias("start"), F.lit(-1).alias("d")))).alias("e"))
+    steps = ends.select(*pair, "e.start", "e.d").groupBy(*pair, "start").agg(F.sum("d").alias("d"))
+    low = F.sum("d").over(Window.partitionBy(*pair).orderBy("start").rowsBetween(Window.unboundedPreceding, 0))
+    width = F.least("size", "m")
+    swept = steps.withColumn("low", low).filter(F.col("start") <= F.greatest(F.lit(0), F.col("size") - F.col("m")))
+    return swept.select("doc_id", "item_id", "start", width.alias("n"), (F.col("low") / (width + F.col("m") - F.col("low"))).alias("similarity"))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``(doc_id, item_id, similarity, start_shingle, n_shingles)`` for each document and item that it holds.
 
@@ -105,8 +128,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     is one shingle.  Repeated rows count once; a null doc_id is left out; extra columns are
     ignored; no rows on either side give no rows.
     """
-    parts = materialize(item_parts(benchmark), "items")
-    seeds = parts.select("item_id", "part", "n", F.explode(F.array_distinct(F.filter("shingles", lambda x, i: (i % 4 == 0) | (i == F.size("shingles") - 1)))).alias("seed"))
+    every = materialize(item_shingles(benchmark), "items")
+    items, long = every.filter(F.col("n") <= MAX_WINDOW), every.filter(F.col("n") > MAX_WINDOW)
+    seeds = items.select("n", F.explode(F.array_distinct(F.filter("shingles", lambda x, i: (i % 4 == 0) | (i == F.size("shingles") - 1)))).alias("seed"))
     # one row for each seed and size: which item it comes from does not matter to the windows
     seeds = materialize(seeds.select("seed", "n").distinct(), "seeds")
     texts = docs.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), word_shingles(F.col("text")).alias("all")).filter(F.size("all") > 0)
@@ -134,10 +158,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         for earlier in within[:b]:
             mine = mine & ~earlier
         first = first | mine
-    index = broadcast_if_small(materialize(_index(parts), "simhash-index"), BROADCAST_ROWS)
-    near = probes.join(index, ["block", "value"]).filter((F.bit_count(differ) <= RADIUS) & first).select("doc_id", "start", "window", "item_id", "part")
-    bodies = broadcast_if_small(parts.select("item_id", "part", "shingles"), BROADCAST_ROWS // 10)
-    checked = near.join(bodies, ["item_id", "part"]).select("doc_id", "item_id", "start", F.size("window").alias("n"), _similarity("window", "shingles").alias("similarity"))
+    index = broadcast_if_small(materialize(_index(items), "simhash-index"), BROADCAST_ROWS)
+    near = probes.join(index, ["block", "value"]).filter((F.bit_count(differ) <= RADIUS) & first).select("doc_id", "start", "window", "item_id")
+    bodies = broadcast_if_small(items.select("item_id", "shingles"), BROADCAST_ROWS // 10)
+    checked = near.join(bodies, "item_id").select("doc_id", "item_id", "start", F.size("window").alias("n"), _similarity("window", "shingles").alias("similarity"))
+    if not long.isEmpty():
+        checked = checked.unionByName(_long_windows(texts, long))
     best = checked.filter(F.col("similarity") >= LIMIT).groupBy("doc_id", "item_id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("s"), "n")).alias("x"))
     return best.select("doc_id", "item_id", F.col("x.similarity").alias("similarity"), (-F.col("x.s")).cast("bigint").alias("start_shingle"), F.col("x.n").cast("bigint").alias("n_shingles"))
 
