@@ -639,6 +639,24 @@ def paginated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rd.pages_until_empty(pages).select("id", F.col("item.v").alias("v"))
 
 
+@query("S10_paged_listings", """with p as (select c_custkey // 40 as listing, c_custkey % 40 + 1 as page, c_custkey as k from customer),
+  m as (select *, page = 20 + listing % 30 as blank, page = 10 + listing * 7 % 50 as done, 2 * (25 + listing * 3 % 40) as total from p),
+  r as (select *, sum(case when blank then 0 else 2 end) over w as got, row_number() over w as nth from m window w as (partition by listing order by page)),
+  e as (select listing, min(page) as stop from r where blank or done or got >= total or nth >= 35 group by listing),
+  i as (select r.listing, page, k from r left join e on r.listing = e.listing where not blank and (stop is null or page <= stop))
+  select listing, 'a' || (page % 15) as id, 'v' || min(k) as v from i group by listing, page % 15 union all select listing, 'b' || k, 'w' || k from i""")
+def paged_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers as listings of 40 pages that end by an empty page, a flag, a total or the cap."""
+    listing, page, k = F.floor(F.col("c_custkey") / 40), (F.col("c_custkey") % 40 + 1), F.col("c_custkey").cast("string")
+    item = lambda a, b: F.struct(a.alias("id"), b.alias("v"))
+    both = F.array(item(F.concat(F.lit("a"), (page % 15).cast("string")), F.concat(F.lit("v"), k)), item(F.concat(F.lit("b"), k), F.concat(F.lit("w"), k)))
+    pages = ad.table(spark, sf_dir, "customer").select(
+        listing.alias("listing"), page.alias("page"), F.when(page != 20 + listing % 30, both).alias("items"),
+        F.when(page == 10 + listing * 7 % 50, "True").otherwise("false").alias("complete"), (2 * (25 + listing * 3 % 40)).alias("total"),
+    )
+    return rd.pages_until_empty(pages, ["listing"], 35).select("listing", "id", F.col("item.v").alias("v"))
+
+
 @query("S11_category_leaves", """select p_partkey as id, (p_partkey % 5)::varchar as level from part p
   where p_partkey % 5 <> 0 and not exists (select 1 from part c where c.p_partkey // 10 = p.p_partkey)""")
 def category_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:

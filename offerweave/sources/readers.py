@@ -6,7 +6,7 @@ import gzip
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from offerweave.sources.schema import STAGING, blank
@@ -123,12 +123,34 @@ def maybe_gzip(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInArrow(run, "path string, body string")
 
 
-def pages_until_empty(pages: DataFrame) -> DataFrame:
-    """Items of pages(page, items) up to the first page without items; the first copy of an id counts."""
-    stop = pages.filter(F.coalesce(F.size("items"), F.lit(0)) <= 0).agg(F.min("page")).first()[0]
-    read = pages if stop is None else pages.filter(F.col("page") < stop)
-    rows = read.select("page", F.posexplode("items").alias("pos", "item"))
-    return rows.groupBy("item.id").agg(F.min_by("item", F.struct("page", "pos")).alias("item"))
+def pages_until_empty(pages: DataFrame, listing: list[str] | None = None, max_pages: int | None = None) -> DataFrame:
+    """Items of pages(page, items) up to the first page without items; the first copy of an id counts.
+
+    Every ``listing`` (columns of ``pages``) stops by itself, and an id counts once in each.
+    Where ``pages`` has a column ``complete``, a page whose flag says "true" (text or boolean,
+    null as well) is the last; where it has ``total``, so is the page with which that many
+    items were read (null is 0); so is page number ``max_pages`` in order.
+    """
+    key = list(listing or [])
+    n = F.greatest(F.coalesce(F.size("items"), F.lit(0)), F.lit(0))
+    extra = [c for c in ("complete", "total") if c in pages.columns]
+    ended, order = F.col("n") == 0, Window.partitionBy(*key).orderBy("page")
+    if "complete" in extra:
+        ended = ended | (F.lower(F.coalesce(F.col("complete").cast("string"), F.lit("true"))) == "true")
+    marks = pages.select(*key, "page", n.alias("n"), *extra)
+    if "total" in extra:
+        marks = marks.withColumn("got", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        ended = ended | (F.col("got") >= F.coalesce("total", F.lit(0)))
+    if max_pages is not None:
+        marks = marks.withColumn("nth", F.row_number().over(order))
+        ended = ended | (F.col("nth") >= max_pages)
+    stops = marks.filter(ended).groupBy(*[F.col(c).alias(f"__stop_{c}") for c in key]).agg(F.min("page").alias("__stop"))
+    same = F.lit(True)
+    for c in key:
+        same = same & F.col(c).eqNullSafe(F.col(f"__stop_{c}"))
+    read = pages.join(stops if key else F.broadcast(stops), same, "left").filter(F.col("__stop").isNull() | (F.col("page") <= F.col("__stop")))
+    rows = read.select(*key, "page", F.posexplode("items").alias("pos", "item"))
+    return rows.groupBy(*key, "item.id").agg(F.min_by("item", F.struct("page", "pos")).alias("item"))
 
 
 def leaf_categories(nodes: DataFrame, depth: int = 12) -> DataFrame:
