@@ -208,3 +208,19 @@ def retry_after(value: Column, now: Column) -> Column:
     until = F.try_to_timestamp(day, F.lit("d MMM yyyy HH:mm:ss xx"))
     wait = F.coalesce(seconds, (F.unix_micros(until) - F.unix_micros(now)) / 1e6)
     return F.when(~F.isnan(wait) & (wait > 0), wait)
+
+
+def id_after_products(url: Column) -> Column:
+    """The digits at the end after /products/, else the last part of the path."""
+    return F.coalesce(F.nullif(F.regexp_extract(url, r"/products/([0-9]+)$", 1), F.lit("")), F.element_at(F.split(url, "/"), -1))
+
+
+def numeric_id(url: Column) -> Column:
+    """The last part of the address if it is a number; trailing slashes do not count."""
+    last = F.element_at(F.split(F.regexp_replace(url, "/+$", ""), "/"), -1)
+    return F.when(last.rlike("^[0-9]+$"), last)
+
+
+def top_category(url: Column, base: str) -> Column:
+    """The second part of the path below ``base``, null if there is none."""
+    return F.get(F.split(F.regexp_replace(F.replace(url, F.lit(base), F.lit("")), "^/+|/+$", ""), "/"), F.lit(1))

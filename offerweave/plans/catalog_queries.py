@@ -347,6 +347,17 @@ def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ad.table(spark, sf_dir, "pages").select("page_id", ex.page_title(F.col("html")).alias("title"), host.alias("host"))
 
 
+@query("P27_url_ids", r"""with u as (select p_partkey, p_partkey % 4 as c, case when p_partkey % 3 = 0 then 'x' || p_partkey else p_partkey::varchar end as last from part)
+  select p_partkey, coalesce(case when p_partkey % 3 > 0 then last end, last) as id, case when p_partkey % 3 > 0 then last end as number, case c when 0 then 'gaming' when 1 then 'ihos' when 2 then 'books' else 'toys' end as category, c < 2 as wanted from u""")
+def url_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and top-level categories of one address per part; two of four categories are wanted."""
+    k = F.col("p_partkey")
+    kind = F.get(F.array(*[F.lit(c) for c in ("gaming", "ihos", "books", "toys")]), (k % 4).cast("int"))
+    url = F.concat(F.lit("https://p.example/product/"), kind, F.lit("/products/"), F.when(k % 3 == 0, "x").otherwise(""), k.cast("string"))
+    category = ex.top_category(url, "https://p.example")
+    return _parts(spark, sf_dir).select("p_partkey", ex.id_after_products(url).alias("id"), ex.numeric_id(F.concat(url, F.lit("/"))).alias("number"), category.alias("category"), category.isin("gaming", "ihos").alias("wanted"))
+
+
 @query("P11_breadcrumbs", r"""select page_id, len(regexp_extract_all(html, '(?is)<a[^>]*href="[^"]*"[^>]*>[^<]*</a>')) as links from pages""")
 def crumbs(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = F.regexp_extract_all("html", F.lit(r'(?is)<a[^>]*href="[^"]*"[^>]*>[^<]*</a>'), F.lit(0))
@@ -618,6 +629,27 @@ def sitemap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rd.sitemap_urls(_parts(spark, sf_dir).select(F.col("p_partkey").alias("ordinal"), body.alias("body")))
 
 
+@query("S8_sitemap_index", """select 'https://p/en/products/' || p_partkey as url, (p_partkey // 50) % 20 as sub, count(*) over () as urls from part where (p_partkey // 50) % 20 % 3 <> 1 and p_partkey % 2 = 0""")
+def sitemap_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty sitemaps under one index, a third of them of other things; half of the addresses are in another language."""
+    k = F.col("p_partkey")
+    sub = F.floor(k / 50) % 20
+    name = F.concat(F.when(sub % 3 == 1, "post").otherwise("product"), F.lit("-sitemap"), sub.cast("string"), F.lit(".xml"))
+    url = F.concat(F.lit("https://p/"), F.when(k % 2 == 0, "en").otherwise("el"), F.lit("/products/"), k.cast("string"))
+    image = "<i:image><i:loc>https://p/en/products/9</i:loc></i:image>"
+    entry = F.concat(F.lit("<url><loc>"), url, F.lit(f"</loc>{image}</url>"))
+    head = 'xmlns="http://www.sitemaps.org/schemas/sitemap/0.9" xmlns:i="http://x/image"'
+    body = F.concat(F.lit(f"<urlset {head}>"), F.array_join(F.collect_list(entry), ""), F.lit("</urlset>"))
+    maps = _parts(spark, sf_dir).groupBy(name.alias("path"), sub.alias("sub")).agg(body.alias("body"))
+    each = F.transform(F.sort_array(F.collect_list(F.struct("sub", "path"))), lambda x: F.concat(F.lit("<sitemap><loc>"), x["path"], F.lit("</loc></sitemap>")))
+    index = maps.groupBy().agg(F.concat(F.lit(f"<sitemapindex {head}>"), F.array_join(each, ""), F.lit("</sitemapindex>")).alias("body"))
+    files = maps.select("path", "body").unionByName(index.select(F.lit("index").alias("path"), "body"))
+    urls = rd.sitemap_urls(rd.sub_sitemaps(files, "index", "product-sitemap"), "/en/products/[0-9]+$")
+    number = F.split_part("url", F.lit("/"), F.lit(-1)).cast("bigint")
+    counted = urls.agg(F.count("*").alias("urls"))
+    return urls.select("url", (F.floor(number / 50) % 20).alias("sub")).crossJoin(F.broadcast(counted))
+
+
 @query("S9_gzip_or_plain", "select n_name as line, 2 as files from nation")
 def gzip_or_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 25 nations as gzip and as plain text, read by content."""

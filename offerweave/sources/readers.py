@@ -99,10 +99,27 @@ def copy_text(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(F.concat_ws("\t", *[field(c) for c in columns]).alias("line"))
 
 
-def sitemap_urls(bodies: DataFrame) -> DataFrame:
-    """Distinct ``loc`` of sitemap bodies(ordinal, body), in order of first appearance."""
-    locs = F.expr("xpath(body, \"//*[local-name()='loc']/text()\")")
-    each = bodies.select("ordinal", F.posexplode(locs).alias("pos", "url")).withColumn("url", F.trim("url"))
+def _locs(kind: str) -> Column:
+    """The ``loc`` right below the elements of one kind; those of images or of other kinds are left out."""
+    return F.expr(f"xpath(body, \"//*[local-name()='{kind}']/*[local-name()='loc' and namespace-uri()=namespace-uri(..)]/text()\")")
+
+
+def sub_sitemaps(files: DataFrame, index: str, name: str = "") -> DataFrame:
+    """``(ordinal, body)`` of the sitemaps of files(path, body) that the index at ``index`` lists, in its order.
+
+    Only addresses that contain ``name`` are followed; one that is not among the files is an error.
+    """
+    listed = files.filter(F.col("path") == index).select(F.posexplode(_locs("sitemap")).alias("ordinal", "sub")).withColumn("sub", F.trim("sub"))
+    listed = listed.filter(F.col("sub").contains(name)).groupBy("sub").agg(F.min("ordinal").alias("ordinal"))
+    found = listed.join(files, F.col("sub") == F.col("path"), "left")
+    missing = F.raise_error(F.concat(F.lit("no such sitemap: "), F.col("sub"))).cast("string")
+    return found.select("ordinal", F.coalesce("body", missing).alias("body"))
+
+
+def sitemap_urls(bodies: DataFrame, pattern: str = "") -> DataFrame:
+    """Distinct page addresses of sitemap bodies(ordinal, body) in which ``pattern`` is found, in order of first appearance."""
+    each = bodies.select("ordinal", F.posexplode(_locs("url")).alias("pos", "url")).withColumn("url", F.trim("url"))
+    each = each.filter(F.col("url").rlike(pattern)) if pattern else each
     return each.groupBy("url").agg(F.min(F.struct("ordinal", "pos")).alias("at")).select("url", "at.ordinal", "at.pos")
 
 
