@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from offerweave.plans.scratch import materialize
 from offerweave.sources.schema import STAGING, blank
 
 
@@ -170,17 +171,43 @@ def pages_until_empty(pages: DataFrame, listing: list[str] | None = None, max_pa
     return rows.groupBy(*key, "item.id").agg(F.min_by("item", F.struct("page", "pos")).alias("item"))
 
 
-def leaf_categories(nodes: DataFrame, depth: int = 12) -> DataFrame:
-    """Leaves below the roots of nodes(id, parent, level): they have an id, level other than "0" and no children."""
-    reached = nodes.filter("parent is null").select("id", "level")
-    frontier = reached
-    for _ in range(depth):
-        frontier = nodes.join(frontier.select(F.col("id").alias("parent")), "parent").select("id", "level")
+def leaf_categories(nodes: DataFrame, depth: int | None = None) -> DataFrame:
+    """Leaves below the roots of nodes(id, parent, level): they have an id, level other than "0" and no children.
+
+    All levels are walked.  A cycle below a root is an error, and so is a tree of more than
+    ``depth`` levels below the roots where that is given.
+    """
+    reached = frontier = materialize(nodes.filter("parent is null").select("id", "level").distinct(), "tree-level")
+    walked, again = 0, False
+    while True:
+        step = nodes.join(frontier.select(F.col("id").alias("parent")).distinct(), "parent").select("id", "level").distinct()
+        step = materialize(step, "tree-level")
+        if step.isEmpty():
+            break
+        walked += 1
+        if depth is not None and walked > depth:
+            raise ValueError(f"more than {depth} levels of categories")
+        again = again or not step.intersect(reached).isEmpty()
+        frontier = materialize(step.subtract(reached), "tree-level")
         reached = reached.unionByName(frontier)
+    if again:
+        _require_no_cycle(nodes, reached)
     parents = nodes.filter("parent is not null").select(F.col("parent").alias("id")).distinct()
     return reached.filter("id is not null and level <> '0'").join(parents, "id", "left_anti").distinct()
 
 
+def _require_no_cycle(nodes: DataFrame, reached: DataFrame) -> None:
+    """Take away nodes without children until none are left; what cannot be taken away is a cycle."""
+    edges = nodes.select("parent", "id").join(reached.select(F.col("id").alias("parent")).distinct(), "parent", "left_semi").distinct()
+    edges = materialize(edges, "tree-edges")
+    left = edges.count()
+    while left:
+        edges = materialize(edges.join(edges.select(F.col("parent").alias("id")).distinct(), "id", "left_semi"), "tree-edges")
+        before, left = left, edges.count()
+        if before == left:
+            raise ValueError("a category is below itself")
+
+
 def merge_retry(rows: DataFrame, recovered: DataFrame, key: list[str]) -> DataFrame:
     """Recovered rows replace those of their key, new ones are added."""
     return rows.join(recovered.select(*key).distinct(), key, "left_anti").unionByName(recovered)
