@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SALTS = 16
+
 
 def bound_batches(spark: SparkSession, rows: int = 1000, size: str = "16m") -> None:
     """Small Arrow batches for this session, so that long texts do not add up in memory."""
@@ -64,6 +66,36 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def body(text: str = "text") -> list[Column]:
+    """Two 64-bit hashes that stand for a whole text, ``b1`` and ``b2``.
+
+    Decisions on a text are carried by these and not by doc_id: rows without an id, and rows that
+    share an id but not their text, are then told apart.
+    """
+    return [F.xxhash64(F.col(text)).alias("b1"), F.xxhash64(F.lit("body"), F.col(text)).alias("b2")]
+
+
+def join_hot(left: DataFrame, right: DataFrame, keys: list[str], by: list[str], max_rows: int, how: str = "inner") -> DataFrame:
+    """Join on ``keys`` of which a few may hold most rows of ``left``.
+
+    ``right`` is a written table.  With at most ``max_rows`` rows it is broadcast.  Beyond that
+    it is repeated for every salt and ``left`` is dealt over the salts by a hash of ``by``.
+    """
+    if right.limit(max_rows + 1).count() <= max_rows:
+        return left.join(F.broadcast(right), keys, how)
+    salted = left.withColumn("__offerweave_salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int"))
+    every = right.withColumn("__offerweave_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    return salted.join(every, [*keys, "__offerweave_salt"], how).drop("__offerweave_salt")
+
+
+def without_texts(docs: DataFrame, gone: DataFrame, max_rows: int) -> DataFrame:
+    """``docs`` without the rows whose text is one of ``gone(b1, b2)``, a written table; columns as they were."""
+    names = {"b1": "__offerweave_b1", "b2": "__offerweave_b2"}
+    marked = docs.withColumns({names[c]: x for c, x in zip(names, body(), strict=True)})
+    left = join_hot(marked, gone.select("b1", "b2").withColumnsRenamed(names), list(names.values()), ["doc_id"], max_rows, "left_anti")
+    return left.select(*docs.columns)
+
+
 def crc_mod(name: str, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod``: the fold rule of the classifiers."""
     return F.crc32(F.col(name).cast("string").cast("binary")) % mod
@@ -72,7 +104,7 @@ def crc_mod(name: str, mod: int) -> Column:
 def word_count(text: Column) -> Column:
     """How many words ``word_shingles`` sees."""
     clean = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
-    return _once(clean, lambda c: F.when(c == "", 0).otherwise(F.size(F.split(c, " "))))
+    return once(clean, lambda c: F.when(c == "", 0).otherwise(F.size(F.split(c, " "))))
 
 
 def word_shingles(text: Column, size: int = 5) -> Column:
@@ -82,10 +114,10 @@ def word_shingles(text: Column, size: int = 5) -> Column:
     """
     clean = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
     none = F.array().cast("array<bigint>")
-    return _once(clean, lambda c: F.when(c == "", none).otherwise(_once(F.split(c, " "), lambda w: _hashes(w, size))))
+    return once(clean, lambda c: F.when(c == "", none).otherwise(once(F.split(c, " "), lambda w: _hashes(w, size))))
 
 
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once: a lambda's argument is not repeated in its body."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 

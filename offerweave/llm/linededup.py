@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerweave.llm.common import text_or_empty
+from offerweave.llm.common import body, join_hot, once, text_or_empty
 from offerweave.plans.scratch import broadcast_if_small, materialize
 
 MIN_SITES = 5
@@ -25,6 +25,14 @@ MIN_WORDS = 4
 NOT_BLANK = r"[^\p{Z}\p{Cc}]"
 LG_K = 12
 BROADCAST_ROWS = 500_000
+#: Places to remove that may be broadcast together.
+BROADCAST_PLACES = 2_000_000
+#: What tells rows apart: null ids are ids like others, and texts of one id stay apart.
+_ROW = ["noid", "id0", "b1", "b2"]
+
+
+def _row_key() -> list[Column]:
+    return [F.col("doc_id").isNull().alias("noid"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("id0"), *body()]
 
 
 def _line_key(line: Column) -> tuple[Column, Column]:
@@ -33,9 +41,9 @@ def _line_key(line: Column) -> tuple[Column, Column]:
 
 
 def _lines(docs: DataFrame, min_words: int | None) -> DataFrame:
-    """``(doc_id, source, pos, line)`` of every line that is judged."""
+    """``(noid, id0, b1, b2, source, pos, line)`` of every line that is judged."""
     lines = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
+        *_row_key(), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
         F.posexplode(F.split(text_or_empty(), "\n")).alias("pos", "line"),
     )
     if min_words is None:
@@ -58,40 +66,58 @@ def spread_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int | N
 
 
 def removed_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int | None = MIN_WORDS) -> DataFrame:
-    """``(doc_id, places)``: the places of the lines to remove from each document that has any."""
-    common = broadcast_if_small(materialize(spread_lines(docs, min_sites, min_words).select("h1", "h2"), "spread-lines"), BROADCAST_ROWS)
-    found = materialize(_lines(docs, min_words).select("doc_id", "pos", *_line_key(F.col("line"))).join(common, ["h1", "h2"]), "occurrences")
-    first = found.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "pos")).alias("first"))
-    later = found.join(first, ["h1", "h2"]).filter(~F.struct("doc_id", "pos").eqNullSafe(F.col("first")))
-    return later.groupBy("doc_id").agg(F.collect_set("pos").alias("places"))
+    """``(noid, id0, b1, b2, places)``: the places of the lines to remove from each row that has any."""
+    common = materialize(spread_lines(docs, min_sites, min_words).select("h1", "h2"), "spread-lines")
+    lines = _lines(docs, min_words).select(*_ROW, "pos", *_line_key(F.col("line")))
+    found = materialize(join_hot(lines, common, ["h1", "h2"], ["id0", "b1", "pos"], BROADCAST_ROWS), "occurrences")
+    place = ["noid", "id0", "pos", "b1", "b2"]
+    first = found.groupBy("h1", "h2").agg(F.min(F.struct(*place)).alias("first")).select("h1", "h2", *[F.col(f"first.{c}").alias(c) for c in place])
+    # all of an occurrence is the key, so no task gets all occurrences of a frequent line
+    later = found.distinct().join(first, ["h1", "h2", *place], "left_anti")
+    return later.groupBy(*_ROW).agg(F.collect_set("pos").alias("places"))
+
+
+def _cleaned(docs: DataFrame, min_sites: int, min_words: int | None) -> DataFrame:
+    """``docs`` with new ``text`` and ``n_chars``, and what was done in ``__offerweave_lines`` and ``__offerweave_removed``."""
+    names = {c: f"__offerweave_{c}" for c in [*_ROW, "places"]}
+    gone = materialize(removed_lines(docs, min_sites, min_words).withColumnsRenamed(names), "removed-lines")
+    places = F.col(names["places"])
+    amount = gone.agg(F.coalesce(F.sum(F.size(places) + 8), F.lit(0)).alias("n")).first()["n"]
+    gone = F.broadcast(gone) if amount <= BROADCAST_PLACES else gone
+    keyed = docs.withColumns({names[c]: x for c, x in zip(_ROW, _row_key(), strict=True)})
+    both = keyed.join(gone, [names[c] for c in _ROW], "left")
+    n_lines = F.size(F.split(text_or_empty(), "\n"))
+    # split keeps a trailing part, so joining what is left is exact
+    left = once(F.split("text", "\n"), lambda x: F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), places), lambda i: F.get(x, i)))
+    counted = both.withColumn("__offerweave_lines", n_lines).withColumn("__offerweave_removed", F.when(places.isNull(), 0).otherwise(F.size(places)))
+    out = counted.withColumn("text", F.when(places.isNull(), F.col("text")).otherwise(F.array_join(left, "\n")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
+    return out.drop(*names.values())
 
 
 def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int | None = MIN_WORDS) -> DataFrame:
     """``docs`` with new ``text`` and ``n_chars``, and ``n_lines`` and ``n_removed`` at the end.
 
     Blank lines and lines of fewer than ``min_words`` parts are never removed.  Null text
-    stays null and has one line; a null source counts as the empty source; repeated rows lose
-    the same lines; other columns are kept as they are (columns named n_lines or n_removed are
-    replaced).  No rows give no rows.
+    stays null and has one line; a null source counts as the empty source.  Of a shared line the
+    occurrence with the smallest doc_id stays, null ids last, then that with the smallest place,
+    then one of the texts that share all this.  Equal rows lose the same lines; rows with one
+    doc_id, or none, and different texts are different documents.  Other columns are kept as
+    they are (columns named n_lines or n_removed are replaced).  No rows give no rows.
     """
-    gone = removed_lines(docs, min_sites, min_words).select(F.col("doc_id").alias("__offerweave_doc"), F.col("places").alias("__offerweave_places"))
-    both = docs.drop("n_lines", "n_removed").join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__offerweave_doc")), "left")
-    lines = F.split("text", "\n")
-    left = F.filter(lines, lambda x, i: ~F.array_contains("__offerweave_places", i))
-    # split keeps a trailing part, so joining what is left is exact
-    new = F.when(F.col("__offerweave_places").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    counted = both.withColumn("n_lines", F.size(F.split(text_or_empty(), "\n"))).withColumn("n_removed", F.coalesce(F.size("__offerweave_places"), F.lit(0)))
-    counted = counted.withColumn("n_removed", F.when(F.col("__offerweave_places").isNull(), 0).otherwise(F.size("__offerweave_places")))
-    out = counted.withColumn("text", new)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
-    return out.drop("__offerweave_doc", "__offerweave_places")
+    new = _cleaned(docs, min_sites, min_words).drop("n_lines", "n_removed")
+    return new.withColumnsRenamed({"__offerweave_lines": "n_lines", "__offerweave_removed": "n_removed"})
 
 
 def without_repeated_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int | None = MIN_WORDS) -> DataFrame:
-    """``docs`` without the removed lines; documents of which nothing is left go."""
-    new = dedup_lines(docs, min_sites, min_words)
-    empty = (F.col("n_removed") > 0) & (F.length(F.trim(F.coalesce("text", F.lit("")))) == 0)
+    """``docs`` without the removed lines; documents of which nothing is left go.
+
+    Nulls, ties, repeated rows and clashing ids as in ``dedup_lines``; null, empty and blank texts
+    that lost nothing stay; all columns stay.
+    """
+    new = _cleaned(docs, min_sites, min_words)
+    empty = (F.col("__offerweave_removed") > 0) & (F.length(F.trim(F.coalesce("text", F.lit("")))) == 0)
     return new.filter(~empty).select(*docs.columns)
 
 

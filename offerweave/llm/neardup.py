@@ -19,6 +19,10 @@ are still in different components meet each other.  That join's own condition co
 sketches, then sets of 32-bit hashes (whose collisions can only raise the similarity), so
 it puts out little more than the missing links.  Every link is confirmed on the full
 sets, from the full texts.
+
+Classes are numbered when they are written, and the graph is one of these numbers.  Ids come
+in at the end: a component is named after its smallest doc_id.  So rows without an id, and an
+id with several texts, tie nothing together.
 """
 
 from __future__ import annotations
@@ -30,9 +34,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerweave.llm.common import Bounded, bound_batches, small_batches, worker_cache
+from offerweave.llm.common import Bounded, body, bound_batches, join_hot, small_batches, worker_cache
 from offerweave.operators.components import connected_components
-from offerweave.plans.scratch import broadcast_if_small, materialize
+from offerweave.plans.scratch import materialize
 
 PLACES = 1 << 20
 BANDS, ROWS = 60, 6
@@ -41,7 +45,7 @@ SKETCH = BANDS * ROWS // 30
 MAX_DIFFER = 102
 BROADCAST_ROWS = 1_000_000
 
-_SIGS = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
+_SIGS = pa.schema([("doc_id", pa.int64()), ("b1", pa.int64()), ("b2", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -102,7 +106,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     copies = worker_cache("sets:copies", lambda: Bounded(lambda _: None, 4_000))
     for batch in small_batches(batches, "text"):
-        ids, sizes, digests, bands, sketches = batch.column("doc_id").to_pylist(), [], [], [], []
+        sizes, digests, bands, sketches = [], [], [], []
         for text in batch.column("text").to_pylist():
             s = shingle_set(text)
             sizes.append(len(s))
@@ -113,7 +117,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 known = copies[digest] = band_keys(s)
             bands.append(known[0])
             sketches.append(known[1])
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))], schema=_SIGS)
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "b1", "b2")), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))], schema=_SIGS)
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,9 +134,9 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` whose sets are similar enough, as edges ``(src, dst)``."""
-    one = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    two = one.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    """The pairs ``(a, b)`` of classes whose sets are similar enough, as edges ``(src, dst)``."""
+    one = pairs.join(texts.select(F.col("class_id").alias("b"), F.col("text").alias("text_b")), "b")
+    two = one.join(texts.select(F.col("class_id").alias("a"), F.col("text").alias("text_a")), "a")
     return materialize(two.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "src bigint, dst bigint"), "links")
 
 
@@ -154,13 +158,13 @@ def _mixed(shared: DataFrame, parts: DataFrame) -> DataFrame:
 def _short_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches, "text"):
         sets = [np.unique((shingle_set(t) >> np.uint64(32)).astype(np.uint32)).view(np.int32) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.list_(pa.int32()))], names=["class_id", "hashes"])
+        yield pa.RecordBatch.from_arrays([batch.column("class_id"), pa.array(sets, pa.list_(pa.int32()))], names=["class_id", "hashes"])
 
 
 def _across(mixed: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs of a bucket's members, of different components, that may be similar enough."""
-    ids = mixed.select(F.col("class_id").alias("doc_id")).distinct()
-    sets = texts.join(ids, "doc_id", "left_semi").mapInArrow(_short_sets, "class_id bigint, hashes array<int>")
+    ids = mixed.select("class_id").distinct()
+    sets = texts.join(ids, "class_id", "left_semi").mapInArrow(_short_sets, "class_id bigint, hashes array<int>")
     wide = sets.join(classes.select("class_id", "sketch"), "class_id").join(mixed, "class_id")
     full = wide.select("key", "class_id", "n", "part", "hashes", *[F.get("sketch", F.lit(i)).alias(f"s{i}") for i in range(SKETCH)])
     left, right = (full.select("key", *[F.col(c).alias(f"{side}_{c}") for c in full.columns if c != "key"]) for side in "ab")
@@ -178,38 +182,35 @@ def _across(mixed: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame
     return left.join(right, near).select(F.col("a_class_id").alias("a"), F.col("b_class_id").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs(doc_id, text, ...)`` -> ``(doc_id, n_shingles, component_id, kept)``.
+def _components(docs: DataFrame) -> DataFrame:
+    """``(doc_id, b1, b2, n_shingles, component_id, class_id, component)`` of every row, as a written table.
 
-    Two documents are linked if 100 * |A and B| >= 75 * |A or B| for their sets of distinct
-    5-word shingles.  ``component_id`` is the smallest doc_id that links reach.  Null, empty
-    and blank texts have 0 shingles and are their own component; a text of fewer than five
-    words is one shingle.  Repeated rows give repeated results; rows with a null doc_id keep
-    a null component and are never kept.  Extra columns are ignored.  No rows give no rows.
+    ``component`` is the number of the component's first class; ``component_id`` its smallest
+    doc_id, null if none of its rows has an id.  Rows without shingles have no class.
     """
     bound_batches(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>, sketch array<bigint>"
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *body(), F.col("text").cast("string").alias("text"))
+    schema = "doc_id bigint, b1 bigint, b2 bigint, n_shingles bigint, digest binary, bands array<bigint>, sketch array<bigint>"
     signed = materialize(texts.mapInArrow(_sign, schema), "signatures")
+    # null ids come last, and one row stands for a class
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("noid"), "doc_id", "b1", "b2")).alias("row")
     classes = materialize(
-        signed.filter("digest is not null and doc_id is not null")
-        .groupBy("digest")
-        .agg(F.min("doc_id").alias("class_id"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch")]),
+        signed.filter("digest is not null").groupBy("digest").agg(least, *[F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch")])
+        .withColumn("class_id", F.monotonically_increasing_id()),
         "classes",
-    )
+    )
     rows = classes.select(F.explode("bands").alias("key"), "class_id", F.col("n_shingles").alias("n"))
     hubs = (
         rows.groupBy("key").agg(F.min(F.struct("class_id", "n")).alias("hub"), F.count("*").alias("c"))
         .filter("c > 1").select("key", F.col("hub.class_id").alias("hub"), F.col("hub.n").alias("hub_n"))
     )
     shared = materialize(rows.join(hubs, "key"), "buckets")
-    needed = materialize(shared.select(F.col("class_id").alias("doc_id")).distinct(), "needed")
-    # the smallest doc_id of a class may be on several equal rows; one text of each is enough
-    wanted = materialize(
-        texts.filter("doc_id is not null and text is not null").join(broadcast_if_small(needed, BROADCAST_ROWS), "doc_id", "left_semi")
-        .groupBy("doc_id").agg(F.first("text").alias("text")),
-        "texts",
-    )
+    needed = classes.join(shared.select("class_id").distinct(), "class_id", "left_semi")
+    needed = materialize(needed.select("class_id", "row.noid", F.coalesce("row.doc_id", F.lit(0)).alias("id0"), "row.b1", "row.b2"), "needed")
+    # several equal rows may stand for a class; one text of each is enough
+    marked = texts.filter("text is not null").select(F.col("doc_id").isNull().alias("noid"), F.coalesce("doc_id", F.lit(0)).alias("id0"), "b1", "b2", "text")
+    found = join_hot(marked, needed, ["noid", "id0", "b1", "b2"], ["id0", "b1"], BROADCAST_ROWS)
+    wanted = materialize(found.groupBy("class_id").agg(F.first("text").alias("text")), "texts")
     pairs = shared.filter((F.col("class_id") != F.col("hub")) & _alike("n", "hub_n")).select(F.col("hub").alias("a"), F.col("class_id").alias("b")).distinct()
     links = _verified(pairs, wanted)
     parts = materialize(connected_components(links), "parts")
@@ -217,15 +218,40 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if not mixed.isEmpty():
         links = links.unionByName(_verified(_across(mixed, classes, wanted), wanted))
         parts = materialize(connected_components(links), "parts")
-    of_class = classes.join(parts, classes.class_id == parts.node, "left").select("digest", F.coalesce("component", "class_id").alias("component_id"))
-    return (
-        signed.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
-        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
-    )
+    placed = classes.select("digest", "class_id", "row.doc_id").join(parts.select(F.col("node").alias("class_id"), "component"), "class_id", "left")
+    placed = materialize(placed.select("digest", "class_id", "doc_id", F.coalesce("component", "class_id").alias("component")), "placed")
+    names = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    of_class = materialize(placed.join(names, "component").select("digest", "class_id", "component", "component_id"), "named")
+    out = join_hot(signed.select("doc_id", "b1", "b2", "n_shingles", "digest"), of_class, ["digest"], ["doc_id", "b1"], BROADCAST_ROWS, "left")
+    return materialize(out.drop("digest"), "components")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``docs(doc_id, text, ...)`` -> ``(doc_id, n_shingles, component_id, kept)``.
+
+    Two documents are linked if 100 * |A and B| >= 75 * |A or B| for their sets of distinct
+    5-word shingles.  ``component_id`` is the smallest doc_id that links reach.  Null, empty
+    and blank texts have 0 shingles and are their own component; a text of fewer than five
+    words is one shingle.  Repeated rows give repeated results.  Rows with a null doc_id link
+    others but have a null component and are never kept.  Rows of one doc_id with different texts
+    are linked by their own texts only, so each may have its own component.  Extra columns are
+    ignored.  No rows give no rows.
+    """
+    named = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")
+    return _components(docs).select("doc_id", "n_shingles", named).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that are not the first of their component."""
-    gone = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """``docs`` without the documents that are not the first of their component.
+
+    The first is the one with the smallest doc_id.  Rows without an id go if their component has
+    a row with one; else those of its first class stay.  Rows that are equal in id and text
+    cannot be told apart and stay or go together.  Texts without words stay.  All columns stay.
+    """
+    all_rows = _components(docs)
+    first = F.when(F.col("component_id").isNotNull(), F.col("doc_id").eqNullSafe(F.col("component_id"))).otherwise(F.col("class_id") == F.col("component"))
+    key = [F.col("doc_id").isNull().alias("__offerweave_noid"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("__offerweave_id0")]
+    names = ["__offerweave_noid", "__offerweave_id0", "__offerweave_b1", "__offerweave_b2"]
+    gone = all_rows.filter(F.col("class_id").isNotNull() & ~first).select(*key, F.col("b1").alias(names[2]), F.col("b2").alias(names[3])).distinct()
+    marked = docs.withColumns(dict(zip(names, [*key, *body()], strict=True)))
+    return join_hot(marked, materialize(gone, "not-first"), names, names[1:3], BROADCAST_ROWS, "left_anti").select(*docs.columns)

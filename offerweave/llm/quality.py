@@ -22,12 +22,14 @@ from offerweave.llm.common import bound_batches, crc_mod, small_batches, text_or
 from offerweave.llm.toxicity import training_rows
 
 MAX_ROWS = 4000
+#: Lines of all training texts together.
+MAX_LINES = 500_000
 _OWN = 11
 FEATURES = 3 * _OWN + 2
 
 
 def _classes() -> np.ndarray:
-    table = np.zeros((256, 6), np.float32)  # letters, capitals, digits, spaces, symbols, punctuation
+    table = np.zeros((256, 6), np.uint8)  # letters, capitals, digits, spaces, symbols, punctuation
     for c in range(256):
         x = chr(c)
         if c >= 128 or x.isalpha():
@@ -54,15 +56,11 @@ def line_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     n = len(lines)
     lengths = np.fromiter(map(len, lines), np.int64, n)
     own = np.zeros((n, _OWN), np.float32)
-    if raw:
-        codes = np.frombuffer(raw, np.uint8)
-        at = np.concatenate([[0], np.cumsum(lengths + 1)])
-        ends = np.minimum(at[1:], len(codes))
-        for k in range(6):
-            total = np.concatenate([[0], np.cumsum(_TABLE[codes, k])])
-            own[:, k] = (total[ends] - total[at[:-1]]) - (k == 3) * (ends - at[:-1] - lengths)
-        bars = np.concatenate([[0], np.cumsum(codes == 124)])
-        own[:, 6] = bars[ends] - bars[at[:-1]]
+    codes = np.frombuffer(raw + b"\n", np.uint8)  # every line ends in a line feed, so none is empty
+    at = np.cumsum(lengths + 1) - lengths - 1
+    for k in range(6):
+        own[:, k] = np.add.reduceat(_TABLE[codes, k], at, dtype=np.int64) - (k == 3)
+    own[:, 6] = np.add.reduceat((codes == 124).view(np.uint8), at, dtype=np.int64)
     size = np.maximum(lengths, 1)
     words = own[:, 3] + 1
     own[:, [0, 1, 2, 4, 5, 6]] /= size[:, None]
@@ -190,7 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> dict:
                 names=["doc_id", "label", "features", "lengths"],
             )
 
-    got = training_rows(docs, labels, "quality", crc_mod("doc_id", 5) != 0, max_rows, describe, "doc_id bigint, label int, features binary, lengths binary")
+    got = training_rows(docs, labels, "quality", crc_mod("doc_id", 5) != 0, max_rows, F.size(F.split("text", "\n")), MAX_LINES, describe, "doc_id bigint, label int, features binary, lengths binary")
     rows = [(np.frombuffer(r["features"], "<f4").reshape(-1, FEATURES), np.frombuffer(r["lengths"], "<i4")) for r in got]
     return fit(rows, np.array([r["label"] for r in got]))
 

@@ -17,13 +17,16 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerweave.llm.common import Bounded, bound_batches, crc_mod, small_batches, text_or_empty, worker_cache
+from offerweave.plans.scratch import materialize
 
 BUCKETS = 1 << 20
 MAX_ROWS = 6000
+#: Characters of all training texts together.
+MAX_CHARS = 200_000_000
 TERMS = 4096
 FACTORS = 4
 _STRIP = b"".join(bytes([c]) for c in range(33, 127) if not chr(c).isalnum())
@@ -111,17 +114,24 @@ def probability(model: dict, buckets: np.ndarray) -> float:
     return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, fold: Column, max_rows: int, describe: Callable, schema: str) -> list:
-    """What ``describe`` makes of at most ``max_rows`` labelled texts, chosen by a hash of their ids.
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, fold: Column, max_rows: int, size: Column, max_size: int, describe: Callable, schema: str) -> list:
+    """What ``describe`` makes of labelled texts: at most ``max_rows``, chosen by a hash of their ids.
 
     ``fold`` is true for the rows that may be learned from.  Several labels of one id count as
-    their maximum; ids without text or label are left out.
+    their maximum, of several texts of one id the first in order counts; ids without text row or
+    label are left out.  ``size`` measures a text: texts above a fiftieth of ``max_size`` are left
+    out, and then those, in order of the hash, with which the sum exceeds ``max_size``.  Texts
+    are taken whole or not at all.
     """
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     sample = known.filter(fold).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     bound_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
-    return texts.join(F.broadcast(sample), "doc_id").mapInArrow(describe, schema).orderBy("doc_id").collect()
+    chosen = materialize(texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")), "training-texts")
+    running = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))  # max_rows numbers at most
+    sizes = chosen.select("doc_id", size.cast("bigint").alias("size")).filter(F.col("size") <= max_size // 50)
+    fits = sizes.withColumn("sum", running).filter(F.col("sum") <= max_size).select("doc_id")
+    return chosen.join(F.broadcast(fits), "doc_id").mapInArrow(describe, schema).orderBy("doc_id").collect()
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> dict:
@@ -132,7 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> dict:
             rows = [term_buckets(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array([r.astype("<u4").tobytes() for r in rows], pa.binary())], names=["doc_id", "label", "terms"])
 
-    got = training_rows(docs, labels, "toxic", crc_mod("doc_id", 4) != 2, max_rows, describe, "doc_id bigint, label int, terms binary")
+    got = training_rows(docs, labels, "toxic", crc_mod("doc_id", 4) != 2, max_rows, F.length("text"), MAX_CHARS, describe, "doc_id bigint, label int, terms binary")
     return fit([np.frombuffer(r["terms"], "<u4").astype(np.int64) for r in got], np.array([r["label"] for r in got]))
 
 
@@ -161,6 +171,18 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Da
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """``docs`` without the documents that are predicted toxic."""
-    gone = toxicity(docs, labels, max_rows).filter("predicted = 1").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """``docs`` without the rows whose text is predicted toxic.
+
+    Each row is judged by its own text in one pass, whatever its id: rows without an id, equal
+    rows and rows of one id with different texts need no rule.  Null and empty texts are judged as
+    texts without terms.  All columns stay as they were; no rows give no rows.
+    """
+    model = train(docs, labels, max_rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text"):
+            clean = [probability(model, term_buckets(t or "")) < 0.3 for t in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    bound_batches(docs.sparkSession)
+    return docs.mapInArrow(run, docs.schema)
