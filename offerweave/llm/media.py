@@ -4,13 +4,18 @@ An Aho-Corasick automaton finds every magic number of a value in one pass.  A fo
 validator then confirms each hit by the format's own structure and lengths.  A confirmed
 hit at the start corrects the declared type; confirmed hits further on are carved out as
 embedded media.  Hits without structure are dropped.
+
+Work is in proportion to the value: end markers are found once per value and say where their
+start must be, and where one hit's walk over parts has failed, no later hit's walk goes on.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,36 +36,120 @@ def wav(payload: bytes, rate: int = RATE) -> bytes:
     return head + payload + pad
 
 
-def _riff(b: bytes, at: int) -> tuple[str, int] | None:
+class Value:
+    """A value's bytes and what its validators share."""
+
+    def __init__(self, raw: bytes):
+        self.raw, self.failed = raw, {}
+        self._zero = (0, -1)
+        self._marks: list[int] | None = None
+        self._zip: dict[int, int] | None = None
+        self._pdf: dict[int, int] | None = None
+
+    def dead(self, kind: object) -> set[int]:
+        """Places from which a walk over parts of this kind is known to fail."""
+        return self.failed.setdefault(kind, set())
+
+    def marker(self, pos: int) -> int:
+        """The next 0xFF from ``pos`` that is neither stuffed nor a restart mark; -1 if there is none."""
+        if self._marks is None:
+            self._marks = [m.start() for m in re.finditer(rb"\xff(?![\x00\xd0-\xd7])(?!\Z)", self.raw, re.S)]
+        at = bisect_left(self._marks, pos)
+        return self._marks[at] if at < len(self._marks) else -1
+
+    def zero(self, pos: int) -> int:
+        """The next zero byte from ``pos``; -1 if there is none."""
+        low, high = self._zero
+        if not low <= pos <= high:
+            high = self.raw.find(b"\0", pos)
+            self._zero = (pos, high if high >= 0 else len(self.raw))
+        return -1 if high < 0 or high >= len(self.raw) else high
+
+    def zip_ends(self) -> dict[int, int]:
+        """Start -> end of archives: an end record holds the distance to its start."""
+        if self._zip is None:
+            b, self._zip = self.raw, {}
+            end = b.find(b"PK\x05\x06")
+            while 0 <= end <= len(b) - 22:
+                size, start = struct.unpack("<II", b[end + 12 : end + 20])
+                at = end - size - start
+                if at >= 0 and b[at + start : at + start + 4] in (b"PK\x01\x02", b"PK\x05\x06"):
+                    self._zip.setdefault(at, end + 22 + int.from_bytes(b[end + 20 : end + 22], "little"))
+                end = b.find(b"PK\x05\x06", end + 1)
+        return self._zip
+
+    def pdf_ends(self) -> dict[int, int]:
+        """Start -> last end of documents whose trailer points at a cross-reference section.
+
+        The section is the last table or object before the trailer, or lies where the trailer says
+        as seen from the last start (a linearised file).
+        """
+        if self._pdf is None:
+            b, self._pdf = self.raw, {}
+            starts, sections, last = set(), [], -1
+            for m in _PDF_MARKS.finditer(b):
+                if m.lastgroup == "start":
+                    last = m.start()
+                    starts.add(last)
+                elif m.lastgroup in ("table", "object"):
+                    sections = [m.start(), *sections[:1]]
+                else:
+                    offset = int(m["offset"])
+                    for at in (*(x - offset for x in sections), last):
+                        if at in starts and _PDF_SECTION.match(b, at + offset):
+                            self._pdf[at] = m.end()
+                            break
+        return self._pdf
+
+
+_PDF_MARKS = re.compile(rb"(?P<start>%PDF-)|(?P<table>(?<!t)xref)|(?P<object>(?<![0-9])[0-9]{1,10} [0-9]{1,5} obj)|startxref[\r\n ]{1,4}(?P<offset>[0-9]{1,15})[\r\n ]{1,4}%%EOF")
+_PDF_SECTION = re.compile(rb"xref|[0-9]{1,10} [0-9]{1,5} obj")
+
+
+def _riff(v: Value, at: int) -> tuple[str, int] | None:
+    b = v.raw
     kinds = {b"WAVE": "audio/wav", b"WEBP": "image/webp", b"AVI ": "video/x-msvideo"}
     if at + 12 > len(b) or (kind := kinds.get(b[at + 8 : at + 12])) is None:
         return None
     end = at + 8 + int.from_bytes(b[at + 4 : at + 8], "little")
-    pos, chunks = at + 12, 0
-    while pos + 8 <= end <= len(b):
+    if end > len(b):
+        return None
+    pos, seen, dead = at + 12, [], v.dead(("riff", end))
+    while pos + 8 <= end and pos not in dead:
+        seen.append(pos)
         size = int.from_bytes(b[pos + 4 : pos + 8], "little")
-        pos, chunks = pos + 8 + size + size % 2, chunks + 1
-    return (kind, end - at) if chunks and pos == end <= len(b) else None
+        pos += 8 + size + size % 2
+    if seen and pos == end:
+        return kind, end - at
+    dead.update(seen)
+    return None
 
 
-def _png(b: bytes, at: int) -> tuple[str, int] | None:
-    pos, first = at + 8, True
-    while pos + 12 <= len(b):
+def _png(v: Value, at: int) -> tuple[str, int] | None:
+    b, pos, seen, dead = v.raw, at + 8, [], v.dead("png")
+    if b[pos + 4 : pos + 8] != b"IHDR":
+        return None
+    while pos + 12 <= len(b) and pos not in dead:
+        seen.append(pos)
         size, name = int.from_bytes(b[pos : pos + 4], "big"), b[pos + 4 : pos + 8]
         end = pos + 12 + size
-        if end > len(b) or (first and name != b"IHDR") or zlib.crc32(b[pos + 4 : end - 4]) != int.from_bytes(b[end - 4 : end], "big"):
-            return None
+        if end > len(b) or zlib.crc32(memoryview(b)[pos + 4 : end - 4]) != int.from_bytes(b[end - 4 : end], "big"):
+            break
         if name == b"IEND":
             return "image/png", end - at
-        pos, first = end, False
+        pos = end
+    dead.update(seen)
     return None
 
 
-def _gif(b: bytes, at: int) -> tuple[str, int] | None:
+def _gif(v: Value, at: int) -> tuple[str, int] | None:
+    b = v.raw
     if at + 13 > len(b):
         return None
-    pos = at + 13 + (3 << ((b[at + 10] & 7) + 1) if b[at + 10] & 128 else 0)
-    while pos < len(b):
+    pos, seen, dead = at + 13 + (3 << ((b[at + 10] & 7) + 1) if b[at + 10] & 128 else 0), [], v.dead("gif")
+    inner = v.dead("gif blocks")
+    while pos < len(b) and pos not in dead:
+        seen.append(pos)
         if b[pos] == 0x3B:
             return "image/gif", pos + 1 - at
         if b[pos] == 0x21:
@@ -68,80 +157,99 @@ def _gif(b: bytes, at: int) -> tuple[str, int] | None:
         elif b[pos] == 0x2C and pos + 10 <= len(b):
             pos += 11 + (3 << ((b[pos + 9] & 7) + 1) if b[pos + 9] & 128 else 0)
         else:
-            return None
-        while pos < len(b) and b[pos]:
+            break
+        blocks = []
+        while pos < len(b) and b[pos] and pos not in inner:
+            blocks.append(pos)
             pos += b[pos] + 1
+        if pos >= len(b) or pos in inner:  # no end of the blocks
+            inner.update(blocks)
+            break
         pos += 1
+    dead.update(seen)
     return None
 
 
-def _jpeg(b: bytes, at: int) -> tuple[str, int] | None:
-    pos, scan = at + 2, False
-    while pos + 4 <= len(b):
+def _jpeg(v: Value, at: int) -> tuple[str, int] | None:
+    b, pos, scan, seen = v.raw, at + 2, False, []
+    while pos + 2 <= len(b) and pos not in v.dead(("jpeg", scan)):
+        seen.append((scan, pos))
         if b[pos] != 0xFF:
-            return None
+            break
         if b[pos + 1] == 0xD9:
-            return ("image/jpeg", pos + 2 - at) if scan else None
+            if scan:
+                return "image/jpeg", pos + 2 - at
+            break
         size = int.from_bytes(b[pos + 2 : pos + 4], "big")
         if size < 2 or b[pos + 1] in (0x00, 0xD8):
-            return None
+            break
         scan |= (start := b[pos + 1] == 0xDA)
         pos += 2 + size
-        while start:
-            pos = b.find(b"\xff", pos)
-            if pos < 0 or pos + 1 >= len(b):
-                return None
-            if b[pos + 1] and not 0xD0 <= b[pos + 1] <= 0xD7:
-                break
-            pos += 2
-    if scan and b[pos : pos + 2] == b"\xff\xd9":
-        return "image/jpeg", pos + 2 - at
+        if start and (pos := v.marker(pos)) < 0:
+            break
+    for state, place in seen:
+        v.dead(("jpeg", state)).add(place)
     return None
 
 
-def _gzip(b: bytes, at: int) -> tuple[str, int] | None:
-    unpack = zlib.decompressobj(31)
+def _gzip(v: Value, at: int) -> tuple[str, int] | None:
+    b, pos, dead = v.raw, at + 10, v.dead("deflate")
+    if pos > len(b) or (flags := b[at + 3]) & 0xE0:
+        return None
+    if flags & 4:
+        pos += 2 + int.from_bytes(b[pos : pos + 2], "little")
+    for text in (flags & 8, flags & 16):
+        if text:
+            pos = v.zero(pos) + 1
+            if not pos:
+                return None
+    pos += 2 if flags & 2 else 0
+    if pos in dead:
+        return None
+    unpack, crc, size, begin, step = zlib.decompressobj(-15), 0, 0, pos, 256
     try:
-        for pos in range(at, len(b), 1 << 16):
-            unpack.decompress(b[pos : pos + (1 << 16)])
-            if unpack.eof:
-                return "application/gzip", min(pos + (1 << 16), len(b)) - len(unpack.unused_data) - at
+        while pos < len(b) and not unpack.eof:
+            out = unpack.decompress(b[pos : pos + step])
+            crc, size, pos, step = zlib.crc32(out, crc), size + len(out), pos + step, min(2 * step, 1 << 16)
     except zlib.error:
-        pass
+        dead.add(begin)
+        return None
+    end = min(pos, len(b)) - len(unpack.unused_data)
+    if unpack.eof and b[end : end + 8] == struct.pack("<II", crc, size % (1 << 32)):
+        return "application/gzip", end + 8 - at
+    dead.add(begin)
     return None
 
 
-def _pdf(b: bytes, at: int) -> tuple[str, int] | None:
-    end = b.find(b"%%EOF", at)
-    if end < 0 or b.rfind(b"startxref", at, end) < 0:
-        return None
-    return "application/pdf", end + 5 - at
+def _pdf(v: Value, at: int) -> tuple[str, int] | None:
+    end = v.pdf_ends().get(at)
+    return None if end is None else ("application/pdf", end - at)
 
 
-def _zip(b: bytes, at: int) -> tuple[str, int] | None:
-    end = b.find(b"PK\x05\x06", at)
-    while 0 <= end <= len(b) - 22:
-        size, start = struct.unpack("<II", b[end + 12 : end + 20])
-        if start + size == end - at and b[at + start : at + start + 4] in (b"PK\x01\x02", b"PK\x05\x06"):
-            return "application/zip", end + 22 + int.from_bytes(b[end + 20 : end + 22], "little") - at
-        end = b.find(b"PK\x05\x06", end + 1)
-    return None
+def _zip(v: Value, at: int) -> tuple[str, int] | None:
+    end = v.zip_ends().get(at)
+    return None if end is None else ("application/zip", end - at)
 
 
-def _ogg(b: bytes, at: int) -> tuple[str, int] | None:
-    pos = at
-    while b[pos : pos + 4] == b"OggS" and pos + 27 <= len(b) and b[pos + 4] == 0:
+def _ogg(v: Value, at: int) -> tuple[str, int] | None:
+    b, pos, seen, dead = v.raw, at, [], v.dead("ogg")
+    if at + 6 > len(b) or not b[at + 5] & 2:
+        return None
+    while b[pos : pos + 4] == b"OggS" and pos + 27 <= len(b) and b[pos + 4] == 0 and pos not in dead:
+        seen.append(pos)
         table = b[pos + 27 : pos + 27 + b[pos + 26]]
         end = pos + 27 + b[pos + 26] + sum(table)
-        if end > len(b) or (pos == at and not b[pos + 5] & 2):
-            return None
+        if end > len(b):
+            break
         if b[pos + 5] & 4:
             return "audio/ogg", end - at
         pos = end
+    dead.update(seen)
     return None
 
 
-def _bmp(b: bytes, at: int) -> tuple[str, int] | None:
+def _bmp(v: Value, at: int) -> tuple[str, int] | None:
+    b = v.raw
     if at + 26 > len(b):
         return None
     size, spare, start, head = struct.unpack("<IIII", b[at + 2 : at + 18])
@@ -174,10 +282,11 @@ def sniff(value: bytes | None, declared: str | None = None) -> dict:
     span only its own start counts.  Null counts as empty bytes.
     """
     value = value or b""
+    shared = Value(value)
     kind, carved, end = UNKNOWN, [], 1
     for last, (size, check) in worker_cache("media:magic", _automaton).iter(value.decode("latin-1")):
         at = last - size + 1
-        if 0 < at < end or not (hit := check(value, at)):
+        if 0 < at < end or not (hit := check(shared, at)):
             continue
         if at == 0:
             kind = hit[0]
