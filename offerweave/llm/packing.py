@@ -54,6 +54,11 @@ class ChunkIds:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
+    def counts(self, chunks: list[bytes]) -> np.ndarray:
+        """How many ids each chunk has."""
+        self.learn(set(chunks))
+        return np.fromiter(map(len, map(self.known.__getitem__, chunks)), np.int64, len(chunks)) // 4
+
     def learn(self, chunks: set[bytes]) -> None:
         """Make sure that all ``chunks`` are known."""
         if len(self.known) > self.most:
