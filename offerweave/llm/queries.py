@@ -10,6 +10,7 @@ from offerweave.llm.common import load
 from offerweave.llm.decontam import contaminated
 from offerweave.llm.licenses import scan_licenses
 from offerweave.llm.neardup import near_duplicates
+from offerweave.llm.oracles import ORACLES  # noqa: F401
 from offerweave.llm.packing import pack
 from offerweave.llm.quality import quality
 from offerweave.llm.toxicity import toxicity
@@ -70,4 +71,3 @@ QUERIES = {
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
-ORACLES: dict[str, str] = {"op7_line_dedup": linededup.ORACLE, "op7_line_dedup_all_lines": linededup.ORACLE_ALL}
