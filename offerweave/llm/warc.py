@@ -106,7 +106,7 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, archive_bytes: int = AR
     base = base.withColumn("sha1", F.sha1("body"))
     several = base.filter(F.length("body") >= min_bytes).select("page_id", "sha1").groupBy("sha1").agg(F.max("page_id").alias("original"), F.count("*").alias("c")).filter("c > 1").select("sha1", "original")
     marked = join_hot(base, materialize(several, "equal-payloads"), ["sha1"], ["page_id", "url"], BROADCAST_ROWS, "left")
-    refers = F.when((F.col("page_id") != F.col("original")), F.col("original"))
+    refers = F.when(~F.col("page_id").eqNullSafe(F.col("original")), F.col("original"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size, first = [], 0, None
@@ -334,7 +334,7 @@ def archive_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Write ``pages`` to archives, read them back and merge their indexes; one row per page.
 
     Null and empty html are equal empty payloads.  Repeated rows with the largest page_id of
-    their payload are all responses.  A null page_id stays null and never is an original
-    unless all pages of a payload lack one.  Extra columns are ignored; no rows give no rows.
+    their payload are all responses.  A null page_id stays null; such a page revisits
+    the response with its payload, and is one itself if all pages of the payload lack an id.  Extra columns are ignored; no rows give no rows.
     """
     return capture_histories(read_runs(write_archives(pages, min_bytes)))
