@@ -101,20 +101,23 @@ def crc_mod(name: str, mod: int) -> Column:
     return F.crc32(F.col(name).cast("string").cast("binary")) % mod
 
 
+def words(text: Column) -> Column:
+    """Runs of letters and digits, lower-cased, in order; an empty array if there are none."""
+    clean = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
+    return once(clean, lambda c: F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(c, " ")))
+
+
 def word_count(text: Column) -> Column:
     """How many words ``word_shingles`` sees."""
-    clean = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
-    return once(clean, lambda c: F.when(c == "", 0).otherwise(F.size(F.split(c, " "))))
+    return F.size(words(text))
 
 
 def word_shingles(text: Column, size: int = 5) -> Column:
     """Hashes of all ``size``-word windows, in order; fewer words give one, no words none.
 
-    Words are runs of letters and digits, lower-cased.  Built-in functions only.
+    Built-in functions only.
     """
-    clean = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
-    none = F.array().cast("array<bigint>")
-    return once(clean, lambda c: F.when(c == "", none).otherwise(once(F.split(c, " "), lambda w: _hashes(w, size))))
+    return once(words(text), lambda w: F.when(F.size(w) == 0, F.array().cast("array<bigint>")).otherwise(shingles_of(w, size)))
 
 
 def once(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -122,7 +125,8 @@ def once(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _hashes(words: Column, size: int) -> Column:
+def shingles_of(words: Column, size: int) -> Column:
+    """Hashes of the ``size``-word windows of at least one word; fewer words than that give one."""
     places = F.sequence(F.lit(0), F.size(words) - size)
     windows = F.transform(places, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(size)]))
     return F.when(F.size(words) >= size, windows).otherwise(F.array(F.xxhash64(F.concat_ws(" ", words))))

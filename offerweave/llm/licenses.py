@@ -12,6 +12,8 @@ texts, and only windows that hold one are signed.
 
 A notice of fewer than five words is one shingle of its own length.  Texts are cut into
 shingles of each such length that occurs, and the join on the shingle is the exact answer.
+
+Texts are told apart by their hashes and not by doc_id: equal texts are scanned once.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerweave.llm.common import word_count, word_shingles
+from offerweave.llm.common import body, join_hot, once, shingles_of, word_count, word_shingles, words
 from offerweave.plans.scratch import broadcast_if_small, materialize
 
 BANDS = 16
@@ -42,6 +44,19 @@ TEMPLATES = {
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "Rights-line": "All rights reserved.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "GPL-2.0-or-later-line": "either version 2 of the License, or (at your option) any later version",
+    "GPL-line": "See the GNU General Public License for more details.",
+    "LGPL-line": "See the GNU Lesser General Public License for more details.",
+    "AGPL-line": "See the GNU Affero General Public License for more details.",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at https://www.boost.org/LICENSE_1_0.txt)",
+    "BSD-3-Clause": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+    "CC0-1.0": "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide.",
+    "CC-BY-SA-4.0-line": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-NC-SA-4.0-line": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "OFL-1.1": "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+    "GFDL": "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License",
 }
 
 
@@ -61,57 +76,86 @@ def _lowest_shingle(shingles: Column, k: int) -> Column:
     return F.array_min(F.transform(shingles, lambda x: F.struct(F.xxhash64(x, F.lit(k)).alias("h"), x.alias("x"))))["x"]
 
 
-def _short_notices(docs: DataFrame, notices: DataFrame) -> DataFrame | None:
-    """``(doc_id, license, containment, start)`` for notices of fewer than five words; None if there are none."""
-    short = notices.select("license", "text", word_count(F.col("text")).alias("words")).filter((F.col("words") > 0) & (F.col("words") < WORDS))
-    sizes = [r.words for r in short.select("words").distinct().collect()]  # at most four
-    out = None
-    for size in sizes:
-        known = materialize(short.filter(F.col("words") == size).select("license", F.get(word_shingles(F.col("text"), size), F.lit(0)).alias("seed")).distinct(), "short-notices")
-        texts = docs.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
-        texts = texts.filter(word_count(F.col("text")) >= size).select("doc_id", F.posexplode(word_shingles(F.col("text"), size)).alias("pos", "seed"))
-        found = texts.join(broadcast_if_small(known, BROADCAST_ROWS), "seed").groupBy("doc_id", "license").agg(F.min("pos").alias("start"))
-        found = found.select("doc_id", "license", F.lit(1.0).alias("containment"), "start")
-        out = found if out is None else out.unionByName(found)
-    return out
+def _cut(docs: DataFrame, sizes: list[int]) -> DataFrame:
+    """``(b1, b2, words, all, seeds)``: five-word shingles, and behind them those of the short ``sizes``."""
+    none = F.array().cast("array<bigint>")
+    short = lambda w: [F.when(F.size(w) >= k, shingles_of(w, k)).otherwise(none) for k in sizes]
+    cut = once(words(F.col("text")), lambda w: F.struct(F.size(w).alias("words"), shingles_of(w, WORDS).alias("all"), F.concat(none, *short(w)).alias("short")))
+    rows = docs.filter("text is not null").select(*body(), cut.alias("c")).filter("c.words > 0")
+    return rows.select("b1", "b2", "c.words", "c.all", F.concat("c.all", "c.short").alias("seeds"))
+
+
+def _windows(docs: DataFrame, seeds: DataFrame, sizes: list[int]) -> DataFrame:
+    """``(b1, b2, n, license, start, window, around)`` of the windows that hold a seed, and the places of short notices.
+
+    ``seeds(seed, n, short, license)``: a shingle of notices of ``n`` shingles, or a short notice of
+    ``short`` words, whose license it is then.  Where the seeds are too many to broadcast, places
+    alone are shuffled and the windows are cut from the texts afterwards.
+    """
+    small = seeds.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    texts = _cut(docs, sizes)
+    carried = ["b1", "b2", "words", *(["all"] if small else [])]
+    hits = join_hot(texts.select(*carried, F.posexplode("seeds").alias("pos", "seed")), seeds, ["seed"], ["b1", "pos"], BROADCAST_ROWS)
+    size = F.greatest(F.lit(1), F.col("words") - WORDS + 1)
+    # the one shingle of a short text may equal that of a short notice
+    hits = hits.filter(F.col("short").isNull() == (F.col("pos") < size))
+    step = F.greatest(F.lit(1), F.floor(F.col("n") / 4).cast("int"))
+    last = F.greatest(F.lit(0), size - F.col("n"))
+    from_, to = F.ceil((F.greatest(F.lit(0), F.col("pos") - F.col("n") + 1)) / step).cast("int"), F.floor(F.least(F.col("pos"), last) / step).cast("int")
+    grid = F.when(from_ <= to, F.transform(F.sequence(from_, to), lambda i: i * step)).otherwise(F.array().cast("array<int>"))
+    # the last window of a text need not be on the grid
+    starts = F.array_distinct(F.when(F.col("pos") >= last, F.concat(grid, F.array(last))).otherwise(grid))
+    before = size  # shingles ahead of those of a short size
+    place = F.col("pos") - before
+    for k, longer in zip(sizes, sizes[1:], strict=False):
+        before = before + F.greatest(F.lit(0), F.col("words") - k + 1)
+        place = F.when(F.col("short") >= longer, F.col("pos") - before).otherwise(place)
+    at = hits.select(*carried, "n", "license", F.explode(F.when(F.col("short").isNull(), starts).otherwise(F.array(place))).alias("start"))
+    around = F.greatest(F.lit(0), F.col("start") - F.floor(F.col("n") / 2).cast("int"))
+    cut = {"window": F.slice("all", F.col("start") + 1, F.col("n")), "around": F.slice("all", around + 1, F.col("n") * 2)}
+    cut = {c: F.when(F.col("license").isNull(), x).alias(c) for c, x in cut.items()}
+    key = ["b1", "b2", "n", "license", "start"]
+    if small:
+        out = at.select(*key, *cut.values()).groupBy(*key).agg(*[F.first(c).alias(c) for c in cut])
+    else:
+        own = at.select(*key).distinct().groupBy("b1", "b2").agg(F.collect_list(F.struct("n", "license", "start")).alias("own"))
+        each = texts.select("b1", "b2", "all").dropDuplicates(["b1", "b2"]).join(own, ["b1", "b2"]).select("b1", "b2", "all", F.inline("own"))
+        out = each.select(*key, *cut.values())
+    return materialize(out, "notice-windows")
 
 
 def scan_licenses(docs: DataFrame, notices: DataFrame | None = None) -> DataFrame:
     """``(doc_id, license, containment, start_shingle)`` for each document and notice that it holds.
 
     ``notices(license, text)`` default to the built-in ones; a notice without words matches
-    nothing.  The best window counts, the earliest of equals.  A notice of fewer than five words
-    is held wherever all its words follow each other.  Null, empty and blank texts
-    match nothing, a text shorter than a notice is one window.  Repeated rows count once; a
+    nothing, several texts of one license are several notices.  The best window counts, the
+    earliest of equals.  A notice of fewer than five words is held wherever all its words follow
+    each other.  Null, empty and blank texts match nothing, a text shorter than a notice is one
+    window.  Repeated rows count once; of several texts with one doc_id the best window counts; a
     null doc_id is left out; extra columns are ignored; no rows give no rows.
     """
     notices = templates(docs.sparkSession) if notices is None else notices
-    brief = _short_notices(docs, notices)
-    known = notices.filter(word_count(F.col("text")) >= WORDS).select("license", F.array_distinct(word_shingles(F.col("text"))).alias("shingles")).filter(F.size("shingles") > 0).withColumn("n", F.size("shingles"))
+    counted = notices.filter("license is not null").withColumn("words", word_count(F.col("text")))
+    brief = counted.filter((F.col("words") > 0) & (F.col("words") < WORDS))
+    sizes = sorted(r.words for r in brief.select("words").distinct().collect())  # at most four
+    known = counted.filter(F.col("words") >= WORDS).select(F.monotonically_increasing_id().alias("notice"), "license", F.array_distinct(word_shingles(F.col("text"))).alias("shingles")).withColumn("n", F.size("shingles"))
     known = materialize(known.withColumn("lows", F.array(*[_low(F.col("shingles"), k) for k in range(BANDS)])), "notices")
     smallest = F.array(*[_lowest_shingle(F.col("shingles"), k) for k in range(BANDS)])
-    seeds = materialize(known.select("n", F.explode(F.array_distinct(smallest)).alias("seed")).distinct(), "notice-seeds")
-    texts = docs.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), word_shingles(F.col("text")).alias("all")).filter(F.size("all") > 0)
-    hits = texts.select("doc_id", "all", F.posexplode("all").alias("pos", "seed")).join(broadcast_if_small(seeds, BROADCAST_ROWS), "seed")
-    step = F.greatest(F.lit(1), F.floor(F.col("n") / 4).cast("int"))
-    last = F.greatest(F.lit(0), F.size("all") - F.col("n"))
-    from_, to = F.ceil((F.greatest(F.lit(0), F.col("pos") - F.col("n") + 1)) / step).cast("int"), F.floor(F.least("pos", last) / step).cast("int")
-    grid = F.when(from_ <= to, F.transform(F.sequence(from_, to), lambda i: i * step)).otherwise(F.array().cast("array<int>"))
-    # the last window of a text need not be on the grid
-    starts = F.array_distinct(F.when(F.col("pos") >= last, F.concat(grid, F.array(last))).otherwise(grid))
-    around = F.greatest(F.lit(0), F.col("start") - F.floor(F.col("n") / 2).cast("int"))
-    windows = (
-        hits.select("doc_id", "all", "n", F.explode(starts).alias("start"))
-        .select("doc_id", "n", "start", F.slice("all", F.col("start") + 1, F.col("n")).alias("window"), F.slice("all", around + 1, F.col("n") * 2).alias("around"))
-        .groupBy("doc_id", "n", "start").agg(F.first("window").alias("window"), F.first("around").alias("around"))
-    )
+    seeds = known.select(F.explode(F.array_distinct(smallest)).alias("seed"), "n", F.lit(None).cast("int").alias("short"), F.lit(None).cast("string").alias("license")).distinct()
+    for k in sizes:
+        own = brief.filter(F.col("words") == k).select(F.get(word_shingles(F.col("text"), k), F.lit(0)).alias("seed"), F.lit(0).alias("n"), F.lit(k).alias("short"), "license")
+        seeds = seeds.unionByName(own.distinct())
+    windows = _windows(docs, materialize(seeds, "notice-seeds"), sizes)
     bands = F.array(*[F.struct(F.lit(k).alias("band"), _low(F.col("window"), k).alias("low")) for k in range(BANDS)])
-    probes = windows.select("doc_id", "start", "around", F.explode(bands).alias("b")).select("doc_id", "start", "around", "b.band", "b.low")
-    index = materialize(known.select("license", F.posexplode("lows").alias("band", "low")), "notice-bands")
-    near = probes.join(broadcast_if_small(index, BROADCAST_ROWS), ["band", "low"]).groupBy("doc_id", "license", "start").agg(F.first("around").alias("around"))
-    bodies = broadcast_if_small(known.select("license", "shingles", "n"), BROADCAST_ROWS // 10)
+    probes = windows.filter("license is null").select("b1", "b2", "start", "around", F.explode(bands).alias("b")).select("b1", "b2", "start", "around", "b.band", "b.low")
+    index = materialize(known.select("notice", F.posexplode("lows").alias("band", "low")), "notice-bands")
+    near = join_hot(probes, index, ["band", "low"], ["b1", "start"], BROADCAST_ROWS).groupBy("b1", "b2", "notice", "start").agg(F.first("around").alias("around"))
     share = F.size(F.array_intersect("shingles", "around")) / F.col("n")
-    held = near.join(bodies, "license").withColumn("containment", share).filter(F.col("containment") >= LIMIT).select("doc_id", "license", "containment", "start")
-    held = held if brief is None else held.unionByName(brief)
-    best = held.groupBy("doc_id", "license").agg(F.max(F.struct("containment", (-F.col("start")).alias("s"))).alias("x"))
-    return best.select("doc_id", "license", F.col("x.containment").alias("containment"), (-F.col("x.s")).cast("bigint").alias("start_shingle"))
+    rated = join_hot(near, known.select("notice", "license", "shingles", "n"), ["notice"], ["b1", "start"], BROADCAST_ROWS // 10).withColumn("containment", share)
+    held = rated.filter(F.col("containment") >= LIMIT).select("b1", "b2", "license", "containment", "start")
+    held = held.unionByName(windows.filter("license is not null").select("b1", "b2", "license", F.lit(1.0).alias("containment"), "start"))
+    best = F.max(F.struct("containment", (-F.col("start")).alias("s"))).alias("x")
+    of_text = materialize(held.groupBy("b1", "b2", "license").agg(best).select("b1", "b2", "license", "x"), "held-notices")
+    rows = docs.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), *body())
+    out = join_hot(rows, of_text, ["b1", "b2"], ["doc_id"], BROADCAST_ROWS).groupBy("doc_id", "license").agg(F.max("x").alias("x"))
+    return out.select("doc_id", "license", F.col("x.containment").alias("containment"), (-F.col("x.s")).cast("bigint").alias("start_shingle"))
