@@ -40,11 +40,29 @@ def repoint_subscriptions(subs: DataFrame, pairs: DataFrame) -> DataFrame:
     return subs.join(pairs.select(F.col("absorbed").alias("product_id")), "product_id", "left_anti").select("email", "product_id").unionByName(fresh)
 
 
+def final_pairs(pairs: DataFrame, max_rounds: int = 60) -> DataFrame:
+    """``(survivor, absorbed)`` where no survivor is itself absorbed: chains within a batch end at their last survivor.
+
+    Each round doubles the hops that a pair spans.  A cycle is an error.
+    """
+    current = materialize(pairs.select("survivor", "absorbed").distinct(), "merges")
+    for _ in range(max_rounds):
+        hop = current.select(F.col("absorbed").alias("survivor"), F.col("survivor").alias("to"))
+        longer = materialize(current.join(hop, "survivor", "left"), "merges")
+        if longer.filter("to is not null").isEmpty():
+            return current
+        if not longer.filter("to = absorbed or survivor = absorbed").isEmpty():
+            break
+        current = longer.select(F.coalesce("to", "survivor").alias("survivor"), "absorbed")
+    raise ValueError("a product is merged into itself")
+
+
 def redirects(existing: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``(old_id, new_id)`` with the new pairs; chains are one hop long."""
-    new = pairs.select(F.col("absorbed").alias("old_id"), F.col("survivor").alias("new_id"))
+    """``(old_id, new_id)`` with the new pairs; every chain, within the batch as well, is one hop long."""
+    last = final_pairs(pairs)
+    new = last.select(F.col("absorbed").alias("old_id"), F.col("survivor").alias("new_id"))
     kept = existing.select("old_id", "new_id").join(new.select("old_id"), "old_id", "left_anti")
-    hop = pairs.select(F.col("absorbed").alias("new_id"), F.col("survivor").alias("to"))
+    hop = last.select(F.col("absorbed").alias("new_id"), F.col("survivor").alias("to"))
     shorter = kept.join(hop, "new_id", "left").select("old_id", F.coalesce("to", "new_id").alias("new_id"))
     return shorter.unionByName(new)
 

@@ -133,10 +133,36 @@ def diverse_sample(rows: DataFrame, kind: str, order: str, n: int = 5) -> DataFr
     return joined.orderBy(F.col(order) != F.col("_first"), order).limit(n).drop("_first")
 
 
+def cluster_facts(clustered: DataFrame) -> DataFrame:
+    """``cluster_sizes`` with the number of brands."""
+    brands = clustered.groupBy("component").agg(F.count_distinct(F.coalesce("brand_norm", F.lit(""))).alias("brands"))
+    return cluster_sizes(clustered).join(brands, "component")
+
+
 def stratified_clusters(sizes: DataFrame, n: int = 15) -> DataFrame:
-    """The five largest, then clusters of several stores or categories, then others; n rows."""
+    """The five largest, then clusters of several stores, categories or, where counted, brands, then others; n rows."""
+    mixed = F.lit(False)
+    for c in ("stores", "categories", "brands"):
+        mixed = (mixed | (F.col(c) > 1)) if c in sizes.columns else mixed
     largest = sizes.orderBy(F.desc("size"), "component").limit(5).select("component", F.lit(0).alias("p"))
-    ranked = sizes.join(F.broadcast(largest), "component", "left").withColumn("p", F.coalesce("p", F.when((F.col("stores") > 1) | (F.col("categories") > 1), 1).otherwise(2)))
+    ranked = sizes.join(F.broadcast(largest), "component", "left").withColumn("p", F.coalesce("p", F.when(mixed, 1).otherwise(2)))
     return ranked.orderBy("p", F.desc("size"), "component").limit(n).drop("p")
 
 
+def key_verdict(keys: DataFrame) -> DataFrame:
+    """One row: clusters, distinct match keys, keys and clusters in collisions, and GO if there are none."""
+    per_key = keys.groupBy("match_key").agg(F.count("*").alias("c"))
+    facts = per_key.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("clusters"), F.count("*").alias("keys"), F.count_if(F.col("c") > 1).alias("colliding_keys"), F.coalesce(F.sum(F.when(F.col("c") > 1, F.col("c"))), F.lit(0)).alias("colliding_clusters"))
+    return facts.withColumn("verdict", F.when(F.col("colliding_keys") == 0, "GO").otherwise("REVIEW NEEDED"))
+
+
+def greek_only(clustered: DataFrame) -> DataFrame:
+    """Clusters of several stores all of whose titles are Greek."""
+    facts = clustered.groupBy("component").agg(F.count("*").alias("size"), F.count_distinct("store").alias("stores"), F.bool_and(tx.language(F.col("title")) == "EL").alias("greek"))
+    return facts.filter("greek and stores > 1").drop("greek")
+
+
+def title_inspection(offers: DataFrame, n: int = 30) -> DataFrame:
+    """The first n offers before and after normalisation, with a better brand where theirs looks wrong."""
+    first = offers.orderBy("offer_idx").limit(n)
+    return first.select("offer_idx", "vendor", F.col("brand_norm").alias("brand"), "title", F.col("title_norm").alias("normal"), F.array_join("model_codes", ",").alias("models"), F.when(F.col("is_suspicious_brand"), F.col("brand_from_title")).alias("suggested"))

@@ -838,3 +838,6 @@ def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.when(k % 2 == 0, F.concat(F.lit("a/"), _number())).when(k % 4 == 1, "")
     image = F.when(k % 3 == 0, F.concat(F.lit("https://img/"), _number())).when(k % 3 == 1, "")
     return _parts(spark, sf_dir).select("p_partkey", ex.product_url("https://shop.example", path, _number()).alias("url"), ex.image_or(image, "https://cdn/", _number(), "-b.jpg").alias("image"))
+
+
+from offerweave.plans import rule_queries  # noqa: E402,F401  registers more queries
