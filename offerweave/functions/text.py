@@ -102,13 +102,16 @@ def normalize_units(text: Column) -> Column:
 def _without(text: Column, phrases: tuple[str, ...]) -> Column:
     """Without whole phrases: the longest first, equal lengths in order of their text."""
     ordered = sorted(set(phrases), key=lambda p: (-len(p), p))
+    joined = [p for p in ordered if not p.isalnum()]
     whole = lambda some: r"(?U)(?<!\w)(?:" + "|".join(rf"\Q{p}\E" for p in some) + r")(?!\w)"
 
     def run(t: Column) -> Column:
         out = t
         for _, same in groupby(ordered, key=len):
             out = F.regexp_replace(out, whole(same), "")
-        return F.when(t.rlike(whole(ordered)), out).otherwise(t)  # most texts hold none
+        # most texts hold none; single words cannot overlap, so their order does not matter
+        once_over = F.regexp_replace(t, whole(ordered), "")
+        return F.when(~t.rlike(whole(ordered)), t).when(~t.rlike("|".join(rf"\Q{p}\E" for p in joined)), once_over).otherwise(out)
 
     return once(text, run)
 
@@ -121,22 +124,37 @@ def strip_noise(text: Column) -> Column:
     return _without(text, lx.NOISE)
 
 
-def _alias_patterns() -> Column:
-    by_brand: dict[str, list[str]] = {}
+def _aliases_by_brand() -> dict[str, list[str]]:
+    out: dict[str, list[str]] = {}
     for key, brand in lx.BRAND_ALIASES.items():
         if key not in lx.PRODUCT_LINES:
-            by_brand.setdefault(brand, []).append(key.lower())
-    return F.create_map(*[F.lit(x) for b, keys in by_brand.items() for x in (b, r"(?U)(?<!\w)(?:" + "|".join(keys) + r")(?!\w)")])
+            out.setdefault(brand, []).append(key.lower())
+    return out
 
 
 def remove_brand(text: Column, brand: Column) -> Column:
-    """Without the brand, its other spellings, and runs of words that spell its lookup key."""
-    name = strip_accents(F.lower(brand))
-    text = F.regexp_replace(text, F.concat(F.lit(r"(?U)(?<!\w)\Q"), name, F.lit(r"\E(?!\w)")), F.lit(""))
-    text = F.regexp_replace(text, F.coalesce(F.try_element_at(_alias_patterns(), brand), F.lit("(?!)")), F.lit(""))
+    """Without the brand, its other spellings, and runs of words that spell its lookup key.
+
+    Patterns that depend on the row are compiled for each one, so plain searches go first.
+    """
+    name, key = strip_accents(F.lower(brand)), lookup_key(brand)
+    by_brand = _aliases_by_brand()
+    spellings = F.try_element_at(F.create_map(*[x for b, keys in by_brand.items() for x in (F.lit(b), F.array(*map(F.lit, keys)))]), brand)
+    whole = r"(?U)(?<!\w)(?:"
+    pattern = F.concat(F.lit(whole), F.array_join(spellings, "|"), F.lit(r")(?!\w)"))
     run = r"(?U)(?<!\w)\w+(?:[-\s]\w+)*(?!\w)"
     spelled = lambda m: F.upper(F.regexp_replace(m, "[^A-Za-z0-9]", ""))
-    return replace_each(text, run, lambda m: F.when(spelled(m) == lookup_key(brand), F.lit("")).otherwise(m))
+
+    def plain(t: Column) -> Column:
+        return F.when(F.contains(t, name), F.regexp_replace(t, F.concat(F.lit(r"(?U)(?<!\w)\Q"), name, F.lit(r"\E(?!\w)")), F.lit(""))).otherwise(t)
+
+    def aliases(t: Column) -> Column:
+        return F.when(F.exists(spellings, lambda a: F.contains(t, a)), F.regexp_replace(t, pattern, F.lit(""))).otherwise(t)
+
+    def runs(t: Column) -> Column:
+        return once(key, lambda k: F.when(F.contains(spelled(t), k), replace_each(t, run, lambda m: F.when(spelled(m) == k, F.lit("")).otherwise(m))).otherwise(t))
+
+    return once(once(once(text, plain), aliases), runs)
 
 
 def normalize_title(title: Column, brand: Column | None = None) -> Column:

@@ -10,19 +10,20 @@ from offerweave.plans.scratch import materialize
 
 
 def number_offers(offers: DataFrame) -> DataFrame:
-    """``offer_idx`` from 0 in order of (store, store_product_id), without one task that sorts all rows.
+    """``offer_idx`` from 0 in order of (store, store_product_id), with one exchange and no task that sorts all rows.
 
-    Rows are dealt by ranges, numbered within their range and shifted by the ranges before.
+    Rows are dealt by ranges and sorted within them; the running id that each then gets holds its
+    range and its place there, which the sizes of the ranges before turn into a number.
     """
     ranges = int(offers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = offers.repartitionByRange(ranges, "store", "store_product_id").withColumn("_part", F.spark_partition_id())
-    held = materialize(ranged, "numbered")  # the ranges must not be drawn anew
-    sizes = held.groupBy("_part").agg(F.count("*").alias("_c"))
+    ranged = offers.repartitionByRange(ranges, "store", "store_product_id").sortWithinPartitions("store", "store_product_id")
+    held = materialize(ranged.withColumn("_id", F.monotonically_increasing_id()), "numbered")  # the ranges must not be drawn anew
+    part = F.shiftright("_id", 33)
+    sizes = held.groupBy(part.alias("_part")).agg(F.count("*").alias("_c"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = F.broadcast(sizes.select("_part", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_shift")))
-    within = Window.partitionBy("_part").orderBy("store", "store_product_id")
-    numbered = held.withColumn("_n", F.row_number().over(within)).join(shifts, "_part")
-    return numbered.withColumn("offer_idx", (F.col("_n") - 1 + F.col("_shift")).cast("bigint")).drop("_part", "_n", "_shift")
+    shifts = F.broadcast(sizes.select("_part", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_shift")))  # a row for each range
+    numbered = held.withColumn("_part", part).join(shifts, "_part")
+    return numbered.withColumn("offer_idx", (F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_shift")).cast("bigint")).drop("_part", "_id", "_shift")
 
 
 def enrich(offers: DataFrame) -> DataFrame:

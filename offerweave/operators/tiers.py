@@ -46,15 +46,22 @@ def block_spread(offers: DataFrame) -> DataFrame:
     return offer_codes(offers).groupBy("code").agg(F.count_distinct(block).alias("spread"))
 
 
+def _trusted(codes: DataFrame) -> DataFrame:
+    """``(code, freq)`` of the codes that occur in one block only, in one aggregation of ``offer_codes``."""
+    block = F.struct(F.coalesce("category", F.lit("\u0001")).alias("c"), F.coalesce("effective_brand", F.lit("\u0001")).alias("b"))
+    facts = codes.groupBy("code").agg(F.min(block).alias("lo"), F.max(block).alias("hi"), F.count("*").alias("freq"))
+    return facts.filter("lo = hi").select("code", "freq")
+
+
 def code_frequency(offers: DataFrame) -> DataFrame:
     """How many offers have each code that occurs in one block only."""
-    trusted = block_spread(offers).filter("spread = 1").select("code")
-    return offer_codes(offers).join(trusted, "code").groupBy("code").agg(F.count("*").alias("freq"))
+    return _trusted(offer_codes(offers))
 
 
 def chosen_codes(offers: DataFrame) -> DataFrame:
     """Each offer's trusted code of the fewest offers; then the longest, then the first by text."""
-    rated = offer_codes(offers).join(code_frequency(offers), "code")
+    codes = offer_codes(offers)
+    rated = codes.select("offer_idx", "code").join(_trusted(codes), "code")
     best = F.min(F.struct("freq", (-F.length("code")).alias("l"), "code")).alias("x")
     return rated.groupBy("offer_idx").agg(best).select("offer_idx", F.col("x.code").alias("code"), F.col("x.freq").alias("freq"))
 
