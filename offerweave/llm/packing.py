@@ -40,13 +40,14 @@ class ChunkIds:
     The tokenizer collapses white space and never joins across it, so the ids of a text are
     those of its chunks in order.  It also parts letters from marks, so letters that end in one
     mark are looked up as both.  New chunks of letters are encoded many at once and told apart
-    by the word ends among the ids.  ``most`` chunks are kept between batches.
+    by the word ends among the ids.  Between batches two generations of ``most`` chunks are kept:
+    what is still used moves from the old one to the new one, the rest is forgotten with it.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 250_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most, {}
+        self.tokenizer, self.most, self.known, self.old = Tokenizer.from_file(path), most, {}, {}
         words = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(words.values()) + 1, bool)
         self.ends[[i for w, i in words.items() if w.endswith("</w>")]] = True
@@ -62,9 +63,12 @@ class ChunkIds:
     def learn(self, chunks: set[bytes]) -> None:
         """Make sure that all ``chunks`` are known."""
         if len(self.known) > self.most:
-            self.known.clear()
+            self.known, self.old = {}, self.known
         letters, parted = {}, []
-        for chunk in chunks.difference(self.known):
+        new = chunks.difference(self.known)
+        again = new.intersection(self.old)
+        self.known.update((c, self.old[c]) for c in again)
+        for chunk in new - again:
             text = chunk.decode("utf-8", "replace")
             marked = len(text) > 1 and text[-1] in ".,;:!?"
             core = text[:-1] if marked else text
@@ -74,6 +78,7 @@ class ChunkIds:
             letters[chunk[:-1] if marked else chunk] = core
             if marked:
                 parted.append(chunk)
+        self.known.update((c, self.old[c]) for c in letters.keys() & self.old.keys())
         new = [c for c in letters if c not in self.known]
         for at in range(0, len(new), 1000):
             part = new[at : at + 1000]
