@@ -64,9 +64,11 @@ class ChunkIds:
         """Make sure that all ``chunks`` are known."""
         if len(self.known) > self.most:
             self.known, self.old = {}, self.known
-        letters, parted = {}, []
         new = chunks.difference(self.known)
-        again = new.intersection(self.old)
+        if not new:
+            return
+        letters, parted = {}, []
+        again = {c for c in new if c in self.old}  # set operations would walk all of the old ones
         self.known.update((c, self.old[c]) for c in again)
         for chunk in new - again:
             text = chunk.decode("utf-8", "replace")
@@ -78,7 +80,7 @@ class ChunkIds:
             letters[chunk[:-1] if marked else chunk] = core
             if marked:
                 parted.append(chunk)
-        self.known.update((c, self.old[c]) for c in letters.keys() & self.old.keys())
+        self.known.update((c, self.old[c]) for c in letters if c in self.old)
         new = [c for c in letters if c not in self.known]
         for at in range(0, len(new), 1000):
             part = new[at : at + 1000]
