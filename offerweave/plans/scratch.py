@@ -27,11 +27,11 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/offerweave"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the scratch folder and return the table that was written."""
+def materialize(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+    """Write ``df`` to the scratch folder, with the session's or the given codec, and return the table that was written."""
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
