@@ -56,7 +56,7 @@ class TokenTree:
             counts = self.known.counts(_chunks(raw))
             self.starts, self.ends = _spans(raw)
         else:
-            gaps, sizes, counts = np.frombuffer(zlib.decompress(leaves), "<u4").astype(np.int64).reshape(3, -1)
+            gaps, sizes, counts = np.frombuffer(zlib.decompress(leaves[1:]), f"<u{leaves[0]}").astype(np.int64).reshape(3, -1)
             self.ends = np.cumsum(gaps + sizes)
             self.starts = self.ends - sizes
         if not len(self.starts):  # a text without pre-tokens has one empty leaf
@@ -75,9 +75,11 @@ class TokenTree:
         return int(self.sums[1])
 
     def stored(self) -> bytes:
-        """Gaps, lengths and counts of the leaves; inner sums are additions away."""
+        """Gaps, lengths and counts of the leaves, in as many bytes each as the first byte says; inner sums are additions away."""
         gaps = self.starts - np.concatenate([[0], self.ends[:-1]])
-        return zlib.compress(np.stack([gaps, self.ends - self.starts, self.sums[self.width : self.width + len(self.starts)]]).astype("<u4").tobytes(), 1)
+        leaves = np.stack([gaps, self.ends - self.starts, self.sums[self.width : self.width + len(self.starts)]])
+        size = 1 if leaves.max() < 1 << 8 else 2 if leaves.max() < 1 << 16 else 4 if leaves.max() < 1 << 32 else 8
+        return bytes([size]) + zlib.compress(leaves.astype(f"<u{size}").tobytes(), 1)
 
     def _set(self, leaf: int, value: int) -> None:
         at = self.width + leaf
@@ -218,7 +220,7 @@ def counts_after_edits(docs: DataFrame, edits_of: Callable[[bytes], list] = reda
     null and clashing ids are passed on.  Of overlapping edits the first by place is applied and
     counted.  Extra columns are ignored; no rows give no rows.
     """
-    trees = materialize(build_trees(docs, path), "trees")
+    trees = materialize(build_trees(docs, path), "trees", "zstd")
     return edit_trees(found_edits(trees, edits_of), path).select(
         "doc_id", "n_tokens_before", F.col("n_tokens").alias("n_tokens_after"), "n_edits", "reencoded_bytes", "text_bytes"
     )
