@@ -24,6 +24,7 @@ from offerweave.plans.scratch import materialize
 
 CAPACITY = 2048
 SALTS = 256
+BROADCAST_ROWS = 200_000
 VOCABULARY = "word_bpe_49k.json"
 
 
@@ -177,14 +178,16 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) ->
     counts = materialize(cut.groupBy("length", "salt").agg(F.count("*").alias("c")), "counts")
     histogram = {r["length"]: r["c"] for r in counts.groupBy("length").agg(F.sum("c").alias("c")).collect()}
     schema = "length bigint, first_rank bigint, end_rank bigint, first_sequence bigint, per_sequence bigint, base bigint"
-    slots = docs.sparkSession.createDataFrame(plan_slots(histogram, capacity), schema)
+    runs = plan_slots(histogram, capacity)
+    slots = docs.sparkSession.createDataFrame(runs, schema).withColumnRenamed("length", "slot_length")
     earlier = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     shifts = counts.select("length", "salt", F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("shift"))
     within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
     ranked = cut.withColumn("rank", F.row_number().over(within)).join(shifts, ["length", "salt"]).withColumn("rank", F.col("rank") - 1 + F.col("shift"))
     at = (F.col("rank") >= F.col("first_rank")) & (F.col("rank") < F.col("end_rank"))
-    # at most some runs for each of the capacity's lengths, however many documents there are
-    placed = ranked.join(F.broadcast(slots.withColumnRenamed("length", "slot_length")), (F.col("length") == F.col("slot_length")) & at)
+    # runs follow the lengths and not the documents: some for each of at most ``capacity`` lengths
+    slots = F.broadcast(slots) if len(runs) <= BROADCAST_ROWS else slots
+    placed = ranked.join(slots, (F.col("length") == F.col("slot_length")) & at)
     nth = F.col("rank") - F.col("first_rank")
     return placed.select(
         "doc_id", "piece", "start", "length", "ids_crc32",
