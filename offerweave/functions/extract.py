@@ -70,7 +70,8 @@ def embedded_json(html: Column, marker: str) -> Column:
 
         return bodies.map(one)
 
-    return cut(html)
+    # only pages with the marker are sent to Python
+    return cut(F.when(F.contains(html, F.lit(marker)), html))
 
 
 def unescape(text: Column) -> Column:
@@ -82,7 +83,8 @@ def unescape(text: Column) -> Column:
 
         return values.map(lambda v: None if v is None else html.unescape(v))
 
-    return run(text)
+    # only texts with an entity are sent to Python
+    return F.coalesce(run(F.when(F.contains(text, F.lit("&")), text)), text)
 
 
 def unescape_basic(text: Column) -> Column:
