@@ -26,6 +26,7 @@ CAPACITY = 2048
 SALTS = 256
 BROADCAST_ROWS = 200_000
 VOCABULARY = "word_bpe_49k.json"
+_MARKS = (b".", b",", b";", b":", b"!", b"?")
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -68,30 +69,34 @@ class ChunkIds:
         new = chunks.difference(self.known)
         if not new:
             return
-        letters, parted = {}, []
-        again = {c for c in new if c in self.old}  # set operations would walk all of the old ones
-        self.known.update((c, self.old[c]) for c in again)
+        letters, parted = set(), []
+        again = self.old.keys() & new
+        self.known.update(zip(again, map(self.old.__getitem__, again), strict=True))
         for chunk in new - again:
-            text = chunk.decode("utf-8", "replace")
-            marked = len(text) > 1 and text[-1] in ".,;:!?"
-            core = text[:-1] if marked else text
-            if not (core.isalpha() and core.lower().isalpha()):
-                self.known[chunk] = self._ids(text).tobytes()
+            if chunk.isalpha():  # ASCII letters
+                letters.add(chunk)
                 continue
-            letters[chunk[:-1] if marked else chunk] = core
-            if marked:
+            core = chunk[:-1] if chunk[-1:] in _MARKS else chunk
+            text = "a" if core.isalpha() else core.decode("utf-8", "replace")
+            if not (text.isalpha() and text.lower().isalpha()):
+                self.known[chunk] = self._ids(chunk.decode("utf-8", "replace")).tobytes()
+                continue
+            letters.add(core)
+            if core is not chunk:
                 parted.append(chunk)
-        self.known.update((c, self.old[c]) for c in letters if c in self.old)
-        new = [c for c in letters if c not in self.known]
+        letters = letters.difference(self.known)
+        again = self.old.keys() & letters
+        self.known.update(zip(again, map(self.old.__getitem__, again), strict=True))
+        new = list(letters - again)
         for at in range(0, len(new), 1000):
             part = new[at : at + 1000]
-            ids = self._ids(" ".join(letters[c] for c in part))
+            ids = self._ids(b" ".join(part).decode("utf-8", "replace"))
             cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             raw = ids.tobytes()
             if len(cuts) == len(part):
                 self.known.update(zip(part, (raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)), strict=True))
             else:
-                self.known.update((c, self._ids(letters[c]).tobytes()) for c in part)
+                self.known.update((c, self._ids(c.decode("utf-8", "replace")).tobytes()) for c in part)
         for chunk in parted:
             mark = chunk[-1:]
             if mark not in self.known:
