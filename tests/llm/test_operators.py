@@ -147,9 +147,7 @@ def test_decontamination_matches_brute_force(spark):
     texts += [(90, None), (91, ""), (92, items[2][1].upper()), (93, "b a a a a a a a a a a b"), (94, prose(5000)), (92, items[2][1].upper())]
     table = spark.createDataFrame(items, "item_id bigint, text string")
     got = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs(spark, texts), table).collect()}
-    want = {x for x in brute_leaks(spark, texts, items) if x[1] != 5}
-    assert want <= got and {x for x in got if x[1] != 5} == want
-    assert (5, 5) in got  # longer than one window: found by its parts
+    assert got == brute_leaks(spark, texts, items) and (5, 5) in got
     assert decontam.contaminated(docs(spark, []), table).collect() == [] == decontam.contaminated(docs(spark, texts), table.limit(0)).collect()
     left = {r.doc_id for r in decontam.decontaminate(docs(spark, texts), table).collect()}
     assert left == {i for i, _ in texts} - {i for i, _ in got}
