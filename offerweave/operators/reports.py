@@ -91,7 +91,9 @@ def blocked_codes(offers: DataFrame) -> DataFrame:
 
 
 def cluster_sizes(clustered: DataFrame) -> DataFrame:
-    return clustered.groupBy("component").agg(F.count("*").alias("size"), F.count_distinct("store").alias("stores"), F.count_distinct(F.coalesce("category", F.lit(""))).alias("categories"))
+    """How many offers, stores and categories; equal ones are put together first, so no row is repeated for its counts."""
+    seen = clustered.groupBy("component", "store", F.coalesce("category", F.lit("")).alias("category")).agg(F.count("*").alias("n"))
+    return seen.groupBy("component").agg(F.sum("n").alias("size"), F.count_distinct("store").alias("stores"), F.count_distinct("category").alias("categories"))
 
 
 def collisions(keys: DataFrame) -> DataFrame:
@@ -119,10 +121,16 @@ def category_fill(rows: DataFrame) -> DataFrame:
 
 def grown(before: DataFrame, after: DataFrame) -> DataFrame:
     """Components of ``after`` that hold several of ``before``: how many, and how many offers were alone."""
-    sizes = before.groupBy("component").agg(F.count("*").alias("was"))
-    old = before.select("offer_idx", F.col("component").alias("old")).join(sizes.withColumnRenamed("component", "old"), "old")
-    both = after.select("offer_idx", "component").join(old, "offer_idx")
-    out = both.groupBy("component").agg(F.count_distinct("old").alias("parts"), F.count_if(F.col("was") == 1).alias("singles"), F.count_distinct(F.when(F.col("was") > 1, F.col("old"))).alias("clusters"))
+    old = before.select("offer_idx", F.col("component").alias("old"))
+    return grown_from(after.select("offer_idx", "component").join(old, "offer_idx"), old)
+
+
+def grown_from(both: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """``grown`` where each offer has its component before, ``old``, and its ``component`` now; ``before`` holds all offers of then, if there were more."""
+    counts = both.groupBy("component", "old").agg(F.count("*").alias("n"))
+    sizes = (both if before is None else before).groupBy("old").agg(F.count("*").alias("was"))
+    joined = counts.join(sizes, "old")
+    out = joined.groupBy("component").agg(F.count("*").alias("parts"), F.coalesce(F.sum(F.when(F.col("was") == 1, F.col("n"))), F.lit(0)).alias("singles"), F.count_if(F.col("was") > 1).alias("clusters"))
     return out.filter("parts > 1").withColumn("kind", F.when(F.col("clusters") == 0, "new").when(F.col("clusters") == 1, "grew").otherwise("bridged"))
 
 
@@ -133,6 +141,14 @@ def diverse_sample(rows: DataFrame, kind: str, order: str, n: int = 5) -> DataFr
     return joined.orderBy(F.col(order) != F.col("_first"), order).limit(n).drop("_first")
 
 
+def languages(clustered: DataFrame) -> DataFrame:
+    """``(component, langs, stores)`` of clusters of several stores; each title of a cluster is looked at once."""
+    titles = clustered.select("component", "title").distinct().select("component", tx.language(F.col("title")).alias("lang")).distinct()
+    langs = titles.groupBy("component").agg(F.array_join(F.sort_array(F.collect_set("lang")), ",").alias("langs"))
+    stores = clustered.groupBy("component").agg(F.count_distinct("store").alias("stores")).filter("stores > 1")
+    return langs.join(stores, "component")
+
+
 def cluster_facts(clustered: DataFrame) -> DataFrame:
     """``cluster_sizes`` with the number of brands."""
     brands = clustered.groupBy("component").agg(F.count_distinct(F.coalesce("brand_norm", F.lit(""))).alias("brands"))

@@ -111,7 +111,7 @@ _SQL_METHOD = ad.SQL_CLUSTERS + """, tiers as (
 )"""
 
 def _contributed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rs.contributions(ad.clustered(spark, sf_dir), ad.edges(spark, sf_dir))
+    return rs.key_contributions(ad.clustered(spark, sf_dir))
 
 
 @query("A9_match_method", _SQL_METHOD + " select component, size, array_to_string(tiers, ',') as tiers, match_method from meth")
@@ -172,7 +172,7 @@ def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 query("A13_W4_representatives", _SQL_REP + f" select {', '.join(_REP)} from prod")(_products)
 query(FLAGSHIP, _SQL_REP + " select component, brand, category, offer_count, store_count, min_price, max_price from prod")(lambda s, d: _products(s, d).select("component", "brand", "category", "offer_count", "store_count", "min_price", "max_price"))
-query("A36_review_reasons", _SQL_REP + " select 'cross-category' as reason, count(*) as n from prod where needs_review having count(*) > 0")(lambda s, d: rp.reason_counts(_products(s, d).filter("needs_review")))
+query("A36_review_reasons", _SQL_REP + " select 'cross-category' as reason, count(*) as n from prod where needs_review having count(*) > 0")(lambda s, d: rp.reason_counts(rs.category_reviews(ad.clustered(s, d)).filter("needs_review")))
 
 
 @query("G5_bridged_clusters", ad.SQL_CLUSTERS + """, was as (select offer_idx, component, min(offer_idx) over (partition by coalesce(mpn_root_key, 'x' || offer_idx)) as old, count(*) over (partition by coalesce(mpn_root_key, 'x' || offer_idx)) as sz from cl),
@@ -180,9 +180,7 @@ query("A36_review_reasons", _SQL_REP + " select 'cross-category' as reason, coun
   select *, case when clusters = 0 then 'new' when clusters = 1 then 'grew' else 'bridged' end as kind from gr""")
 def bridged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters of all tiers against those of the first tier alone."""
-    o = ad.offers(spark, sf_dir)
-    before = tr.clusters(o, tr.star_edges(tr.mpn_root_keys(o)))
-    return rp.grown(before, ad.clustered(spark, sf_dir))
+    return rp.grown_from(tr.first_tier(ad.clustered(spark, sf_dir)))
 
 
 # --- reports
@@ -201,7 +199,7 @@ on_offers("A26_good_codes", "select code, count(*) as offers, count(distinct coa
 on_offers("A27_store_bridges", "select code, count(distinct store) as stores from o where good_code is not null group by 1 having bool_or(store = 's0') and bool_or(store = 's1')", lambda o: rp.store_bridges(o, "s0", "s1"))
 on_offers("A28_matchable_codes", "select coalesce(category, '') as category, coalesce(effective_brand, '') as brand, code, count(*) as offers from o where good_code is not null group by 1, 2, 3 having count(*) > 1", rp.matchable_codes)
 on_offers("A32_multi_identifier_clusters", "select component, count(distinct mpn_root) as roots, count(distinct ean) as eans from cl group by 1 having count(distinct mpn_root) > 1 or count(distinct ean) > 1", lambda c: c.groupBy("component").agg(F.count_distinct("mpn_root").alias("roots"), F.count_distinct("ean").alias("eans")).filter("roots > 1 or eans > 1"), ad.SQL_CLUSTERS)
-on_offers("A33_language_clusters", "select component, 'EN' as langs, count(distinct store) as stores from cl group by 1 having count(distinct store) > 1", lambda c: c.groupBy("component").agg(F.array_join(F.sort_array(F.collect_set(tx.language(F.col("title")))), ",").alias("langs"), F.count_distinct("store").alias("stores")).filter("stores > 1"), ad.SQL_CLUSTERS)
+on_offers("A33_language_clusters", "select component, 'EN' as langs, count(distinct store) as stores from cl group by 1 having count(distinct store) > 1", rp.languages, ad.SQL_CLUSTERS)
 on_offers("A35_store_count", "select component, count(distinct store) as stores from cl group by 1", lambda c: c.groupBy("component").agg(F.count_distinct("store").alias("stores")), ad.SQL_CLUSTERS)
 on_offers("A37_blocked_codes", "select distinct code, 'suffix' as kind from o where code = '770nc'", rp.blocked_codes)
 on_offers("A38_identifier_sources", "select identifier_source, count(*) as n, round(count(*) * 100.0 / sum(count(*)) over (), 2)::double as pct from o group by 1", lambda o: rp.shares(o, "identifier_source").withColumn("pct", F.col("pct").cast("double")))
@@ -470,8 +468,7 @@ def availability(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("G5_tier_prefix_components", f"{ad.SQL_OFFERS} select offer_idx, min(offer_idx) over (partition by coalesce(mpn_root_key, 'x' || offer_idx)) as component from o")
 def first_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = ad.offers(spark, sf_dir)
-    return tr.clusters(o, tr.star_edges(tr.mpn_root_keys(o))).select("offer_idx", "component")
+    return tr.first_tier(ad.offers(spark, sf_dir)).select("offer_idx", F.col("old").alias("component"))
 
 
 @query("G7_bridged_stores", ad.SQL_CLUSTERS + """, was as (select *, min(offer_idx) over (partition by coalesce(mpn_root_key, 'x' || offer_idx)) as old from cl)
@@ -479,10 +476,10 @@ def first_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     and not list_has_any(list(old) filter (store = 's0'), list(old) filter (store = 's1'))""")
 def bridged_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters that join two stores whose offers were apart after the first tier."""
-    old = first_tier(spark, sf_dir).withColumnRenamed("component", "old")
-    both = ad.clustered(spark, sf_dir).join(old, "offer_idx")
-    sides = both.groupBy("component").agg(*[F.collect_set(F.when(F.col("store") == s, F.col("old"))).alias(s) for s in ("s0", "s1")])
-    return sides.filter((F.size("s0") > 0) & (F.size("s1") > 0) & ~F.arrays_overlap("s0", "s1")).select("component")
+    both = tr.first_tier(ad.clustered(spark, sf_dir)).filter(F.col("store").isin("s0", "s1"))
+    sides = both.groupBy("component", "old").agg(*[F.max((F.col("store") == s).cast("int")).alias(s) for s in ("s0", "s1")])
+    found = sides.groupBy("component").agg(F.max("s0").alias("s0"), F.max("s1").alias("s1"), F.max(F.col("s0") * F.col("s1")).alias("shared"))
+    return found.filter("s0 = 1 and s1 = 1 and shared = 0").select("component")
 
 
 # --- source documents: fields of pages and listings made from the parts
@@ -702,11 +699,7 @@ def category_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
   select component, count(*) as edges from hubs where hub <> offer_idx group by component""")
 def inner_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First-tier edges whose two offers ended in one cluster."""
-    of = ad.clustered(spark, sf_dir).select("offer_idx", "component")
-    sides = tr.star_edges(tr.mpn_root_keys(ad.offers(spark, sf_dir))).select("src", "dst")
-    for side in ("src", "dst"):
-        sides = sides.join(of.select(F.col("offer_idx").alias(side), F.col("component").alias(f"{side}_component")), side)
-    return sides.filter("src_component = dst_component").groupBy(F.col("src_component").alias("component")).agg(F.count("*").alias("edges"))
+    return tr.inner_edges(ad.clustered(spark, sf_dir), F.col("mpn_root_key"))
 
 
 @query("J10_new_id_by_key", _SQL_IDENTITY + ", fresh as (select component from res where resolution = 'new') select component, 5000000 + row_number() over (order by component) - 1 as product_id from fresh")
