@@ -19,7 +19,7 @@ from offerweave.operators import catalog as ct
 from offerweave.operators import ingest as ig
 from offerweave.operators import resolve as rs
 from offerweave.operators import tiers as tr
-from offerweave.operators.enrich import enrich, number_offers
+from offerweave.operators.enrich import enrich_once, number_offers
 from offerweave.plans.scratch import materialize
 from offerweave.sources import readers as rd
 from offerweave.sources import state as st
@@ -81,10 +81,9 @@ def _ingest(tables: dict[str, DataFrame], staging: DataFrame, passed: DataFrame,
 def _resolve(tables: dict[str, DataFrame], state: DataFrame, as_of: Column) -> dict[str, DataFrame]:
     """Products, links and what follows merges: the new tables, and ``decisions``."""
     offers = state.drop("product_id", "match_method", "change").withColumnRenamed("current_price", "price")
-    offers = materialize(enrich(number_offers(offers.drop("id"))), "offers")
-    edges = materialize(tr.tier_edges(offers), "edges")
-    clustered = materialize(tr.clusters(offers, edges), "clustered")
-    contributed = materialize(rs.contributions(clustered, edges), "contributed")
+    offers = materialize(enrich_once(number_offers(offers.drop("id"))), "offers")
+    clustered = materialize(tr.clusters_by_keys(offers), "clustered")
+    contributed = materialize(rs.key_contributions(clustered), "contributed")
     keys = materialize(rs.match_keys(clustered, contributed), "keys")
     linked = state.filter("product_id is not null").select(*ig.KEY, "product_id")
     decisions = materialize(rs.resolve_identity(clustered, keys, linked, tables["products"]), "decisions")

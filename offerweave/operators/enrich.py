@@ -26,6 +26,18 @@ def number_offers(offers: DataFrame) -> DataFrame:
     return numbered.withColumn("offer_idx", (F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_shift")).cast("bigint")).drop("_part", "_id", "_shift")
 
 
+#: All that ``enrich`` looks at.
+TEXTS = ("title", "vendor", "category", "ean", "mpn", "mpn_root")
+
+
+def enrich_once(offers: DataFrame) -> DataFrame:
+    """``enrich`` where offers with equal texts, told by two 64-bit hashes, are looked at once."""
+    seen = [*[F.col(c).isNull() for c in TEXTS], *TEXTS]
+    marked = offers.withColumn("_t1", F.xxhash64(*seen)).withColumn("_t2", F.xxhash64(F.lit("texts"), *seen))
+    texts = materialize(enrich(marked.select("_t1", "_t2", *TEXTS).distinct()).drop(*TEXTS), "texts")
+    return marked.join(texts, ["_t1", "_t2"]).drop("_t1", "_t2")
+
+
 def enrich(offers: DataFrame) -> DataFrame:
     """Add the derived columns; identifier keys use the effective brand, the title key the vendor's."""
     brands = offers.withColumn("brand_norm", tx.normalize_brand(F.col("vendor"))).withColumn("brand_from_title", tx.brand_from_title(F.col("title")))

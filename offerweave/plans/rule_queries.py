@@ -113,11 +113,12 @@ cq.on_offers("N8_title_inspection", "select offer_idx, vendor, brand_norm as bra
   select store, n, store <> 's0' as passed, case when store <> 's0' then mapped else 0 end as inserted, case when store <> 's0' then n - mapped else 0 end as skipped from s""")
 def nightly_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first night, gate to commit, read back from the committed state; store s0 has fewer rows than expected."""
-    staging = ad.versions(spark, sf_dir).drop("category").withColumn("ordinal", F.lit(0))
-    mapping = ad.versions(spark, sf_dir).filter("category is not null").select("store", F.col("product_type").alias("raw_product_type"), "category").distinct()
+    seen = materialize(ad.versions(spark, sf_dir), "seen")
+    staging = seen.drop("category").withColumn("ordinal", F.lit(0))
+    mapping = seen.filter("category is not null").select("store", F.col("product_type").alias("raw_product_type"), "category").distinct()
     expected = staging.select("store").distinct().withColumn("expected", F.when(F.col("store") == "s0", 1_000_000_000).otherwise(2))
     root = cq._written(spark, "nightly")
-    done = nightly.run(spark, root, materialize(staging, "staging"), mapping, expected, F.lit("2024-01-01").cast("timestamp"), write=True)
+    done = nightly.run(spark, root, staging, mapping, expected, F.lit("2024-01-01").cast("timestamp"), write=True)
     state = st.read_table(spark, nightly.current(spark, root), "store_products")
     inserted = state.filter("product_id is not null").groupBy("store").agg(F.count("*").alias("inserted"))
     out = done["gate"].join(inserted, "store", "left").join(done["counters"].select("store", "skipped"), "store", "left")

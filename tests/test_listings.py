@@ -5,6 +5,7 @@ import os
 from offerweave.operators import reports as rp
 from offerweave.operators import resolve as rs
 from offerweave.operators import tiers as tr
+from offerweave.operators.enrich import enrich_once
 from offerweave.plans import adapter as ad
 from tests.test_offers import offers
 
@@ -46,5 +47,12 @@ def test_each_part_is_enriched_once(spark):
     same(spark, ad.offers(spark, SF), ad.clustered(spark, SF))
 
 
+def test_equal_texts_are_enriched_once(spark):
+    columns = ["store_product_id", "brand_norm", "brand_from_title", "is_suspicious_brand", "effective_brand", "title_norm", "title_key", "ean_key", "mpn_root_key", "mpn_key", "model_codes"]
+    plainly = offers(spark, *ODD)
+    given = plainly.select(*plainly.columns[: plainly.columns.index("brand_norm")])
+    assert enrich_once(given).columns == plainly.columns and plain(enrich_once(given), *columns) == plain(plainly, *columns)
+
+
 def test_empty(spark):
     assert tr.clusters_by_keys(offers(spark, *ODD).filter("offer_idx < 0")).collect() == []
