@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable, Iterator
 
@@ -33,10 +34,18 @@ def worker_cache(name: str, make: Callable[[], object]) -> object:
         family = name.partition(":")[0]
         for other in [x for x in held if x.partition(":")[0] != family]:
             del held[other]
+        give_back()
         held[name] = make()
     return held[name]
 
 
+def give_back() -> None:
+    """Return what this process has freed to the system, where the C library can: workers share their executor's memory."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 class Bounded(dict):
     """A dict that computes missing values and forgets everything beyond ``most`` keys."""
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from offerweave.llm.common import bound_batches, small_batches, text_or_empty, worker_cache
+from offerweave.llm.common import bound_batches, give_back, small_batches, text_or_empty, worker_cache
 from offerweave.plans.scratch import materialize
 
 CAPACITY = 2048
@@ -132,6 +132,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -
                         column.append(value)
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        give_back()
 
     one = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     return one.mapInArrow(cut, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
