@@ -191,7 +191,7 @@ def ean_key(ean: Column) -> Column:
 
 def brand_key(kind: str, brand: Column, identifier: Column) -> Column:
     """``kind:brand:identifier``; null if either is missing."""
-    return F.concat(F.lit(kind + ":"), _filled(F.lower(normalize_brand(brand))), F.lit(":"), _filled(normalize_identifier(identifier)))
+    return F.concat(F.lit(kind + ":"), once(F.lower(normalize_brand(brand)), _filled), F.lit(":"), once(normalize_identifier(identifier), _filled))
 
 
 def title_key(brand: Column, category: Column, title_norm: Column) -> Column:
@@ -203,7 +203,7 @@ def model_codes(text: Column) -> Column:
     """Tokens that look like model codes: letters and digits, four or more, no Greek, no quantity."""
     joined = F.regexp_replace(strip_accents(F.lower(F.coalesce(text, F.lit("")))), "([a-z0-9])[-/]([a-z0-9])", "$1$2")
     unit = rf"^\d+({'|'.join(lx.UNIT_SUFFIXES)})$"
-    good = lambda t: t.rlike(r"^[\p{L}\p{N}]{4,}$") & ~t.rlike(r"[Ͱ-Ͽ]") & t.rlike(r"\p{L}") & t.rlike(r"\p{Nd}") & ~t.rlike(unit)
+    good = lambda t: t.rlike(r"\p{Nd}") & t.rlike(r"^[\p{L}\p{N}]{4,}$") & ~t.rlike(r"[Ͱ-Ͽ]") & t.rlike(r"\p{L}") & ~t.rlike(unit)
     return F.array_distinct(F.filter(F.split(joined, r"(?U)\s+"), good))
 
 
@@ -221,10 +221,13 @@ def is_eligible_code(code: Column) -> Column:
 
 def brand_from_title(title: Column) -> Column:
     """The brand of the first word that spells a known one."""
-    words = F.split(strip_accents(F.lower(title)), r"(?U)\s+")
-    keys = F.transform(F.filter(words, lambda w: ~has_greek_left(w)), lookup_key)
-    brands = F.filter(F.transform(keys, lambda k: F.try_element_at(_aliases(), k)), lambda b: b.isNotNull())
-    return F.get(brands, F.lit(0))
+    def first(text: Column) -> Column:
+        words = F.split(text, r"(?U)\s+")
+        latin = F.when(has_greek_left(text), F.filter(words, lambda w: ~has_greek_left(w))).otherwise(words)
+        brands = F.filter(F.transform(F.transform(latin, lookup_key), lambda k: F.try_element_at(_aliases(), k)), lambda b: b.isNotNull())
+        return F.get(brands, F.lit(0))
+
+    return once(strip_accents(F.lower(title)), first)
 
 
 def suspicious_brand(brand: Column, from_title: Column) -> Column:

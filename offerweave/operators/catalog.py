@@ -18,10 +18,10 @@ def new_ids(new: DataFrame, first: int) -> DataFrame:
     return held.withColumn("_n", n).join(shifts, "_part").withColumn("product_id", (F.lit(first - 1) + F.col("_n") + F.col("_s")).cast("bigint")).drop("_part", "_n", "_s")
 
 
-def link_offers(state: DataFrame, links: DataFrame) -> DataFrame:
-    """State rows with the product and method of ``links(store, store_product_id, product_id, match_method)``."""
-    new = links.select("store", "store_product_id", F.col("product_id").alias("n_pid"), F.col("match_method").alias("n_method"))
-    joined = state.join(new, ["store", "store_product_id"], "left")
+def link_offers(state: DataFrame, links: DataFrame, by: tuple[str, ...] = ("store", "store_product_id")) -> DataFrame:
+    """State rows with the product and method of ``links(store, store_product_id, product_id, match_method)``, or of links by what else ``by`` names."""
+    new = links.select(*by, F.col("product_id").alias("n_pid"), F.col("match_method").alias("n_method"))
+    joined = state.join(new, list(by), "left")
     return joined.withColumn("product_id", F.coalesce("n_pid", "product_id")).withColumn("match_method", F.coalesce("n_method", "match_method")).drop("n_pid", "n_method")
 
 

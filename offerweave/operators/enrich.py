@@ -26,6 +26,18 @@ def number_offers(offers: DataFrame) -> DataFrame:
     return numbered.withColumn("offer_idx", (F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_shift")).cast("bigint")).drop("_part", "_id", "_shift")
 
 
+def number_groups(groups: DataFrame, order: list[str], size: str) -> DataFrame:
+    """``first``: how many offers the groups before hold, in order of ``order``; ``size`` names how many each has.  No task sorts all groups."""
+    ranges = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = materialize(groups.repartitionByRange(ranges, *order).withColumn("_part", F.spark_partition_id()), "ranged")
+    sizes = held.groupBy("_part").agg(F.sum(size).alias("_c"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = F.broadcast(sizes.select("_part", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_shift")))  # a row for each range
+    within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = held.withColumn("_w", F.coalesce(F.sum(size).over(within), F.lit(0))).join(shifts, "_part")
+    return summed.withColumn("first", (F.col("_w") + F.col("_shift")).cast("bigint")).drop("_part", "_w", "_shift")
+
+
 #: All that ``enrich`` looks at.
 TEXTS = ("title", "vendor", "category", "ean", "mpn", "mpn_root")
 

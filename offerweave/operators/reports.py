@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerweave.functions import text as tx
+from offerweave.operators.tiers import each_store, weight
 
 PRESENT = ("title_key", "ean_key", "mpn_root_key", "mpn_key")
 
@@ -92,8 +93,15 @@ def blocked_codes(offers: DataFrame) -> DataFrame:
 
 def cluster_sizes(clustered: DataFrame) -> DataFrame:
     """How many offers, stores and categories; equal ones are put together first, so no row is repeated for its counts."""
-    seen = clustered.groupBy("component", "store", F.coalesce("category", F.lit("")).alias("category")).agg(F.count("*").alias("n"))
-    return seen.groupBy("component").agg(F.sum("n").alias("size"), F.count_distinct("store").alias("stores"), F.count_distinct("category").alias("categories"))
+    sizes = clustered.groupBy("component", F.coalesce("category", F.lit("")).alias("category")).agg(F.sum(weight(clustered)).alias("n"))
+    sizes = sizes.groupBy("component").agg(F.sum("n").alias("size"), F.count("*").alias("categories"))
+    return sizes.join(store_counts(clustered), "component").select("component", "size", "stores", "categories")
+
+
+def store_counts(clustered: DataFrame) -> DataFrame:
+    """``(component, stores)``"""
+    seen = clustered.select("component", each_store(clustered).alias("store")).groupBy("component", "store").agg(F.count("*").alias("n"))
+    return seen.groupBy("component").agg(F.count("store").alias("stores"))
 
 
 def collisions(keys: DataFrame) -> DataFrame:
@@ -126,11 +134,15 @@ def grown(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def grown_from(both: DataFrame, before: DataFrame | None = None) -> DataFrame:
-    """``grown`` where each offer has its component before, ``old``, and its ``component`` now; ``before`` holds all offers of then, if there were more."""
-    counts = both.groupBy("component", "old").agg(F.count("*").alias("n"))
-    sizes = (both if before is None else before).groupBy("old").agg(F.count("*").alias("was"))
-    joined = counts.join(sizes, "old")
-    out = joined.groupBy("component").agg(F.count("*").alias("parts"), F.coalesce(F.sum(F.when(F.col("was") == 1, F.col("n"))), F.lit(0)).alias("singles"), F.count_if(F.col("was") > 1).alias("clusters"))
+    """``grown`` where each offer has its component before, ``old``, and its ``component`` now; ``before`` holds all offers of then, if there were more.
+
+    The offers of rows without ``old`` were each alone.
+    """
+    counts = both.groupBy("component", "old").agg(F.sum(weight(both)).alias("n"))
+    before = both if before is None else before
+    sizes = before.groupBy("old").agg(F.sum(weight(before)).alias("was"))
+    joined = counts.join(sizes, "old", "left").withColumn("was", F.coalesce("was", F.lit(1)))
+    out = joined.groupBy("component").agg(F.sum(F.when(F.col("old").isNull(), F.col("n")).otherwise(1)).alias("parts"), F.coalesce(F.sum(F.when(F.col("was") == 1, F.col("n"))), F.lit(0)).alias("singles"), F.count_if(F.col("was") > 1).alias("clusters"))
     return out.filter("parts > 1").withColumn("kind", F.when(F.col("clusters") == 0, "new").when(F.col("clusters") == 1, "grew").otherwise("bridged"))
 
 
@@ -142,10 +154,10 @@ def diverse_sample(rows: DataFrame, kind: str, order: str, n: int = 5) -> DataFr
 
 
 def languages(clustered: DataFrame) -> DataFrame:
-    """``(component, langs, stores)`` of clusters of several stores; each title of a cluster is looked at once."""
-    titles = clustered.select("component", "title").distinct().select("component", tx.language(F.col("title")).alias("lang")).distinct()
+    """``(component, langs, stores)`` of clusters of several stores."""
+    titles = clustered.select("component", tx.language(F.col("title")).alias("lang")).distinct()
     langs = titles.groupBy("component").agg(F.array_join(F.sort_array(F.collect_set("lang")), ",").alias("langs"))
-    stores = clustered.groupBy("component").agg(F.count_distinct("store").alias("stores")).filter("stores > 1")
+    stores = store_counts(clustered).filter("stores > 1")
     return langs.join(stores, "component")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerweave.functions.text import GREEK
-from offerweave.operators.tiers import chosen_codes, ean_keys, inner_edges, reliable, star_edges
+from offerweave.operators.tiers import chosen_codes, each_store, ean_keys, inner_edges, reliable, star_edges, weight
 from offerweave.plans.scratch import materialize
 
 PRIORITY = ("ean", "mpn_root", "mpn", "model_code", "title")
@@ -43,7 +43,7 @@ def _with_method(clustered: DataFrame, tiers: DataFrame) -> DataFrame:
     method = F.lit("unmatched")
     for name in reversed(PRIORITY):
         method = F.when(F.array_contains("tiers", name), name).otherwise(method)
-    sizes = clustered.groupBy("component").agg(F.count("*").alias("size"))
+    sizes = clustered.groupBy("component").agg(F.sum(weight(clustered)).alias("size"))
     none = F.array().cast("array<string>")
     return sizes.join(tiers, "component", "left").withColumn("tiers", F.coalesce("tiers", none)).withColumn("match_method", method)
 
@@ -67,7 +67,7 @@ def match_keys(clustered: DataFrame, contributed: DataFrame) -> DataFrame:
         coded = clustered.join(chosen_codes(clustered).select("offer_idx", F.col("code").alias("chosen_code")), "offer_idx", "left")
     values = {"ean": filled("ean"), "root": filled("mpn_root"), "mpn": F.when(reliable(), filled("mpn")), "code": F.col("chosen_code")}
     alike = ["component", *[v.alias(c) for c, v in values.items()], "effective_brand", "title_key", F.coalesce("category", F.lit("")).alias("category")]
-    rows = materialize(coded.groupBy(*alike).agg(F.count("*").alias("n"), F.min("offer_idx").alias("offer_idx")), "alike")
+    rows = materialize(coded.groupBy(*alike).agg(F.sum(weight(coded)).alias("n"), F.min("offer_idx").alias("offer_idx")), "alike")
     facts = rows.groupBy("component").agg(
         F.min("offer_idx").alias("offer_idx"),
         *[x for c in values for x in (F.max(c).alias(f"{c}1"), F.when(F.max(c).isNull(), 0).when(F.min(c) == F.max(c), 1).otherwise(2).alias(f"n_{c}"))],
@@ -127,8 +127,9 @@ def representatives(clustered: DataFrame) -> DataFrame:
     """
     picked = F.struct("title", "title_norm", "image_url")
     english = ~F.col("title").rlike(GREEK)
+    price = ("low", "high") if "low" in clustered.columns else ("price", "price")
     alike = clustered.groupBy("component", "title", "title_norm", "image_url", "category", "effective_brand", "ean", "mpn_root", "mpn").agg(
-        F.min("offer_idx").alias("offer_idx"), F.count("*").alias("n"), F.min("price").alias("low"), F.max("price").alias("high"), F.bool_or(F.coalesce("available", F.lit(False))).alias("available")
+        F.min("offer_idx").alias("offer_idx"), F.sum(weight(clustered)).alias("n"), F.min(price[0]).alias("low"), F.max(price[1]).alias("high"), F.bool_or(F.coalesce("available", F.lit(False))).alias("available")
     )
     rows = materialize(alike, "alike")
     facts = rows.groupBy("component").agg(
@@ -137,7 +138,7 @@ def representatives(clustered: DataFrame) -> DataFrame:
         F.sort_array(F.collect_set(F.when(F.col("category") != "", F.col("category")))).alias("cats"),
         F.sum("n").alias("offer_count"), F.min("low").alias("min_price"), F.max("high").alias("max_price"), F.bool_or("available").alias("has_available_offer"),
     )
-    stores = clustered.groupBy("component", "store").agg(F.count("*").alias("n")).groupBy("component").agg(F.count("store").alias("store_count"))
+    stores = clustered.select("component", each_store(clustered).alias("store")).groupBy("component", "store").agg(F.count("*").alias("n")).groupBy("component").agg(F.count("store").alias("store_count"))
     facts = facts.join(stores, "component")
     for value, alias in (("effective_brand", "brand"), ("category", "category"), ("ean", "ean"), ("mpn_root", "mpn_root"), ("mpn", "mpn")):
         facts = facts.join(most_common(rows, value, alias, "n"), "component", "left")
@@ -152,14 +153,14 @@ def add_reason(reason: Column, more: Column) -> Column:
     return F.concat_ws("; ", reason, more)
 
 
-def resolve_identity(clustered: DataFrame, keys: DataFrame, linked: DataFrame, products: DataFrame) -> DataFrame:
+def resolve_identity(clustered: DataFrame, keys: DataFrame, linked: DataFrame, products: DataFrame, by: tuple[str, ...] = ("store", "store_product_id")) -> DataFrame:
     """``(component, resolution, product_id, absorbed)`` against an existing catalog.
 
-    ``linked(store, store_product_id, product_id)`` are offers that have a product already,
+    ``linked(store, store_product_id, product_id)`` are offers (or what else ``by`` names) that have a product already,
     ``products(id, match_key)`` the catalog.  One known product: attached.  Several: merged
     into the oldest.  None: looked up by match key, else new.
     """
-    known = clustered.select("component", "store", "store_product_id").join(linked, ["store", "store_product_id"])
+    known = clustered.select("component", *by).join(linked, list(by))
     ids = known.select("component", "product_id").distinct().groupBy("component").agg(F.sort_array(F.collect_set("product_id")).alias("ids"))
     by_key = products.filter("match_key is not null").groupBy("match_key").agg(F.sort_array(F.collect_set("id")).alias("hits"))
     all_ = keys.join(ids, "component", "left").join(by_key, "match_key", "left")
@@ -176,7 +177,7 @@ def merge_collisions(clustered: DataFrame, decisions: DataFrame) -> DataFrame:
 
     The largest cluster wins, then the one with the smallest component.  Adds ``clusters_merged``.
     """
-    sized = decisions.join(clustered.groupBy("component").agg(F.count("*").alias("size")), "component")
+    sized = decisions.join(clustered.groupBy("component").agg(F.sum(weight(clustered)).alias("size")), "component")
     same = sized.filter("product_id is not null").groupBy("product_id").agg(
         F.min(F.struct((-F.col("size")).alias("s"), "component")).alias("w"), F.count("*").alias("clusters_merged")
     )

@@ -39,7 +39,7 @@ def query(name: str, sql: str | None = None):
 
 
 def on_offers(name: str, sql: str, make: Callable[[DataFrame], DataFrame], base: str = ad.SQL_OFFERS) -> None:
-    source = ad.clustered if base is ad.SQL_CLUSTERS else ad.offers
+    source = ad.listed if base is ad.SQL_CLUSTERS else ad.offers
     query(name, f"{base} {sql}")(lambda spark, sf_dir: make(source(spark, sf_dir)))
 
 
@@ -85,7 +85,7 @@ def all_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- components and products
-on_offers("G2_G3_components", "select offer_idx, component from cl", lambda c: c.select("offer_idx", "component"), ad.SQL_CLUSTERS)
+query("G2_G3_components", ad.SQL_CLUSTERS + " select offer_idx, component from cl")(lambda s, d: ad.assigned(s, d).select("offer_idx", "component"))
 on_offers("A29_cluster_sizes", "select component, count(*) as size, count(distinct store) as stores, count(distinct coalesce(category, '')) as categories from cl group by 1", rp.cluster_sizes, ad.SQL_CLUSTERS)
 on_offers("K3_largest_clusters", "select component, count(*) as size from cl group by 1 order by size desc, component limit 25", lambda c: rp.top(rp.cluster_sizes(c).select("component", "size"), "size", ["component"], 25), ad.SQL_CLUSTERS)
 on_offers("K5_sample_clusters", "select component, count(*) as size from cl group by 1 order by component limit 10", lambda c: rp.cluster_sizes(c).select("component", "size").orderBy("component").limit(10), ad.SQL_CLUSTERS)
@@ -111,7 +111,7 @@ _SQL_METHOD = ad.SQL_CLUSTERS + """, tiers as (
 )"""
 
 def _contributed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rs.key_contributions(ad.clustered(spark, sf_dir))
+    return rs.key_contributions(ad.listed(spark, sf_dir))
 
 
 @query("A9_match_method", _SQL_METHOD + " select component, size, array_to_string(tiers, ',') as tiers, match_method from meth")
@@ -144,13 +144,13 @@ _SQL_KEYS = _SQL_METHOD + _sql_common("mb", "effective_brand", "brand") + _sql_c
 
 
 def _keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ad._kept(spark, sf_dir, "keys", lambda: rs.match_keys(ad.clustered(spark, sf_dir), _contributed(spark, sf_dir)))
+    return ad._kept(spark, sf_dir, "keys", lambda: rs.match_keys(ad.listed(spark, sf_dir), _contributed(spark, sf_dir)))
 
 
 query("A12_match_keys", _SQL_KEYS + " select component, match_key, key_kind from keys")(_keys)
 query("A30_key_collisions", _SQL_KEYS + " select match_key, count(*) as clusters from keys group by 1 having count(*) > 1")(lambda s, d: rp.collisions(_keys(s, d)))
 query("A34_duplicate_keys", _SQL_KEYS + " select match_key, count(*) as n from keys group by 1 having count(*) > 1")(lambda s, d: _keys(s, d).groupBy("match_key").agg(F.count("*").alias("n")).filter("n > 1"))
-on_offers("A10_A11_common_brand", _sql_common("mb", "effective_brand", "brand") + " select component, lower(brand) as brand from mb", lambda c: rs.most_common(c, "effective_brand", "brand").withColumn("brand", F.lower("brand")), ad.SQL_CLUSTERS)
+on_offers("A10_A11_common_brand", _sql_common("mb", "effective_brand", "brand") + " select component, lower(brand) as brand from mb", lambda c: rs.most_common(c, "effective_brand", "brand", "offers").withColumn("brand", F.lower("brand")), ad.SQL_CLUSTERS)
 
 _REP = ["component", "brand", "category", "canonical_title", "image_url", "ean", "mpn_root", "mpn", "offer_count", "store_count", "min_price", "max_price", "has_available_offer", "needs_review", "review_reason"]
 _SQL_REP = ad.SQL_CLUSTERS + "".join(_sql_common(f"c_{a}", v, a) for v, a in (("effective_brand", "brand"), ("category", "category"), ("ean", "ean"), ("mpn_root", "mpn_root"), ("mpn", "mpn"))) + """, rep as (
@@ -166,13 +166,13 @@ _SQL_REP = ad.SQL_CLUSTERS + "".join(_sql_common(f"c_{a}", v, a) for v, a in (("
 
 
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rep = rs.representatives(ad.clustered(spark, sf_dir))
+    rep = rs.representatives(ad.priced(spark, sf_dir))
     return rep.withColumn("min_price", F.col("min_price").cast("double")).withColumn("max_price", F.col("max_price").cast("double")).select(*_REP)
 
 
 query("A13_W4_representatives", _SQL_REP + f" select {', '.join(_REP)} from prod")(_products)
 query(FLAGSHIP, _SQL_REP + " select component, brand, category, offer_count, store_count, min_price, max_price from prod")(lambda s, d: _products(s, d).select("component", "brand", "category", "offer_count", "store_count", "min_price", "max_price"))
-query("A36_review_reasons", _SQL_REP + " select 'cross-category' as reason, count(*) as n from prod where needs_review having count(*) > 0")(lambda s, d: rp.reason_counts(rs.category_reviews(ad.clustered(s, d)).filter("needs_review")))
+query("A36_review_reasons", _SQL_REP + " select 'cross-category' as reason, count(*) as n from prod where needs_review having count(*) > 0")(lambda s, d: rp.reason_counts(rs.category_reviews(ad.listed(s, d)).filter("needs_review")))
 
 
 @query("G5_bridged_clusters", ad.SQL_CLUSTERS + """, was as (select offer_idx, component, min(offer_idx) over (partition by coalesce(mpn_root_key, 'x' || offer_idx)) as old, count(*) over (partition by coalesce(mpn_root_key, 'x' || offer_idx)) as sz from cl),
@@ -180,7 +180,7 @@ query("A36_review_reasons", _SQL_REP + " select 'cross-category' as reason, coun
   select *, case when clusters = 0 then 'new' when clusters = 1 then 'grew' else 'bridged' end as kind from gr""")
 def bridged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters of all tiers against those of the first tier alone."""
-    return rp.grown_from(tr.first_tier(ad.clustered(spark, sf_dir)))
+    return rp.grown_from(tr.first_tier(ad.listed(spark, sf_dir)))
 
 
 # --- reports
@@ -200,7 +200,7 @@ on_offers("A27_store_bridges", "select code, count(distinct store) as stores fro
 on_offers("A28_matchable_codes", "select coalesce(category, '') as category, coalesce(effective_brand, '') as brand, code, count(*) as offers from o where good_code is not null group by 1, 2, 3 having count(*) > 1", rp.matchable_codes)
 on_offers("A32_multi_identifier_clusters", "select component, count(distinct mpn_root) as roots, count(distinct ean) as eans from cl group by 1 having count(distinct mpn_root) > 1 or count(distinct ean) > 1", lambda c: c.groupBy("component").agg(F.count_distinct("mpn_root").alias("roots"), F.count_distinct("ean").alias("eans")).filter("roots > 1 or eans > 1"), ad.SQL_CLUSTERS)
 on_offers("A33_language_clusters", "select component, 'EN' as langs, count(distinct store) as stores from cl group by 1 having count(distinct store) > 1", rp.languages, ad.SQL_CLUSTERS)
-on_offers("A35_store_count", "select component, count(distinct store) as stores from cl group by 1", lambda c: c.groupBy("component").agg(F.count_distinct("store").alias("stores")), ad.SQL_CLUSTERS)
+on_offers("A35_store_count", "select component, count(distinct store) as stores from cl group by 1", rp.store_counts, ad.SQL_CLUSTERS)
 on_offers("A37_blocked_codes", "select distinct code, 'suffix' as kind from o where code = '770nc'", rp.blocked_codes)
 on_offers("A38_identifier_sources", "select identifier_source, count(*) as n, round(count(*) * 100.0 / sum(count(*)) over (), 2)::double as pct from o group by 1", lambda o: rp.shares(o, "identifier_source").withColumn("pct", F.col("pct").cast("double")))
 on_offers("A39_mpn_stats", "select store, count(mpn) as present, count_if(mpn is null) as missing, count_if(mpn <> mpn_root) as shortened from o group by 1", lambda o: o.groupBy("store").agg(F.count("mpn").alias("present"), F.count_if(F.col("mpn").isNull()).alias("missing"), F.count_if(F.col("mpn") != F.col("mpn_root")).alias("shortened")))
@@ -278,10 +278,9 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- identity against an existing catalog
 def _catalog(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Links of two thirds of the offers to the product of their part number, and a catalog of those keys."""
-    c = ad.clustered(spark, sf_dir)
-    part = F.split("store_product_id", "-")[0].cast("bigint")
-    linked = c.filter(part % 3 != 0).select("store", "store_product_id", (F.floor(part / 2) + 1).cast("bigint").alias("product_id"))
+    """Links of two thirds of the parts, with all their offers, to the product of their number, and a catalog of those keys."""
+    part = F.col("p_partkey")
+    linked = ad.table(spark, sf_dir, "part").filter(part % 3 != 0).select("p_partkey", (F.floor(part / 2) + 1).cast("bigint").alias("product_id"))
     products = _keys(spark, sf_dir).filter("component % 2 = 0").select((F.col("component") + 1_000_000).alias("id"), "match_key")
     return linked, products
 
@@ -294,7 +293,7 @@ res as (select component, case when n = 1 then 'attached' when n > 1 then 'merge
 
 
 def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ad._kept(spark, sf_dir, "decisions", lambda: rs.resolve_identity(ad.clustered(spark, sf_dir), _keys(spark, sf_dir), *_catalog(spark, sf_dir)))
+    return ad._kept(spark, sf_dir, "decisions", lambda: rs.resolve_identity(ad.listed(spark, sf_dir), _keys(spark, sf_dir), *_catalog(spark, sf_dir), by=("p_partkey",)))
 
 
 @query("U5_J8_J9_identity", _SQL_IDENTITY + " select component, resolution, product_id, absorbed from res")
@@ -306,8 +305,8 @@ def identity(spark: SparkSession, sf_dir: str) -> DataFrame:
   w as (select *, first_value(component) over (partition by coalesce(product_id, -component - 1) order by size desc, component) as winner, count(*) over (partition by coalesce(product_id, -component - 1)) as merged from sz)
   select winner as component, any_value(merged) as clusters_merged, sum(size)::bigint as offers from w group by 1""")
 def collision_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = rs.merge_collisions(ad.clustered(spark, sf_dir), _decisions(spark, sf_dir).select("component", "product_id"))
-    return merged.groupBy("component").agg(F.first("clusters_merged").alias("clusters_merged"), F.count("*").alias("offers"))
+    merged = rs.merge_collisions(ad.listed(spark, sf_dir), _decisions(spark, sf_dir).select("component", "product_id"))
+    return merged.groupBy("component").agg(F.first("clusters_merged").alias("clusters_merged"), F.sum("offers").alias("offers"))
 
 
 @query("J17_attach_or_create", _SQL_IDENTITY + " select count(*) filter (resolution = 'key_lookup' or resolution = 'ambiguous_key') as would_attach, count(*) filter (resolution = 'new') as would_create from res")
@@ -408,10 +407,9 @@ def failed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("J11_link_offers", _SQL_IDENTITY + " select store, store_product_id, coalesce(product_id, -1) as product_id, case when product_id is null then 'unmatched' else 'linked' end as match_method from cl join res using (component)")
 def link_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state = ad.clustered(spark, sf_dir).select(*ig.KEY, F.lit(-1).cast("bigint").alias("product_id"), F.lit("unmatched").alias("match_method"))
-    found = _decisions(spark, sf_dir).filter("product_id is not null").select("component", "product_id")
-    links = ad.clustered(spark, sf_dir).select(*ig.KEY, "component").join(found, "component").withColumn("match_method", F.lit("linked"))
-    return ct.link_offers(state, links)
+    state = ad.assigned(spark, sf_dir).select(*ig.KEY, "component", F.lit(-1).cast("bigint").alias("product_id"), F.lit("unmatched").alias("match_method"))
+    links = _decisions(spark, sf_dir).filter("product_id is not null").select("component", "product_id", F.lit("linked").alias("match_method"))
+    return ct.link_offers(state, links, by=("component",)).drop("component")
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -476,9 +474,10 @@ def first_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     and not list_has_any(list(old) filter (store = 's0'), list(old) filter (store = 's1'))""")
 def bridged_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters that join two stores whose offers were apart after the first tier."""
-    both = tr.first_tier(ad.clustered(spark, sf_dir)).filter(F.col("store").isin("s0", "s1"))
+    rows = tr.first_tier(ad.listed(spark, sf_dir))
+    both = rows.select("component", "old", tr.each_store(rows).alias("store")).filter(F.col("store").isin("s0", "s1"))
     sides = both.groupBy("component", "old").agg(*[F.max((F.col("store") == s).cast("int")).alias(s) for s in ("s0", "s1")])
-    found = sides.groupBy("component").agg(F.max("s0").alias("s0"), F.max("s1").alias("s1"), F.max(F.col("s0") * F.col("s1")).alias("shared"))
+    found = sides.groupBy("component").agg(F.max("s0").alias("s0"), F.max("s1").alias("s1"), F.max(F.when(F.col("old").isNull(), 0).otherwise(F.col("s0") * F.col("s1"))).alias("shared"))
     return found.filter("s0 = 1 and s1 = 1 and shared = 0").select("component")
 
 
@@ -699,7 +698,7 @@ def category_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
   select component, count(*) as edges from hubs where hub <> offer_idx group by component""")
 def inner_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First-tier edges whose two offers ended in one cluster."""
-    return tr.inner_edges(ad.clustered(spark, sf_dir), F.col("mpn_root_key"))
+    return tr.inner_edges(ad.listed(spark, sf_dir), F.col("mpn_root_key"))
 
 
 @query("J10_new_id_by_key", _SQL_IDENTITY + ", fresh as (select component from res where resolution = 'new') select component, 5000000 + row_number() over (order by component) - 1 as product_id from fresh")

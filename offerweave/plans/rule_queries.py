@@ -103,7 +103,7 @@ def key_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
   r as (select *, row_number() over (order by size desc, component) as nth from z)
   select component, size, stores, categories, brands from r order by case when nth <= 5 then 0 when stores > 1 or categories > 1 or brands > 1 then 1 else 2 end, size desc, component limit 15""")
 def cross_brand_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rp.stratified_clusters(rp.cluster_facts(ad.clustered(spark, sf_dir)).filter("size > 1"))
+    return rp.stratified_clusters(rp.cluster_facts(ad.listed(spark, sf_dir)).filter("size > 1"))
 
 
 cq.on_offers("N8_title_inspection", "select offer_idx, vendor, brand_norm as brand, title, title_norm as normal, coalesce(good_code, '') as models, case when is_suspicious_brand then brand_from_title end as suggested from o order by offer_idx limit 30", rp.title_inspection)
