@@ -28,14 +28,26 @@ def number_offers(offers: DataFrame) -> DataFrame:
 
 def number_groups(groups: DataFrame, order: list[str], size: str) -> DataFrame:
     """``first``: how many offers the groups before hold, in order of ``order``; ``size`` names how many each has.  No task sorts all groups."""
-    ranges = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    held = materialize(groups.repartitionByRange(ranges, *order).withColumn("_part", F.spark_partition_id()), "ranged")
-    sizes = held.groupBy("_part").agg(F.sum(size).alias("_c"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = F.broadcast(sizes.select("_part", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_shift")))  # a row for each range
+    return number_each(groups.withColumn("_sizes", F.array(size)), order, "_sizes", 1).withColumn("first", F.get("firsts", F.lit(0))).drop("_sizes", "firsts")
+
+
+def number_each(rows: DataFrame, order: list[str], sizes: str, places: int) -> DataFrame:
+    """``firsts``: how many offers the groups before hold, where a row has a group for each of ``places``, as large as the array ``sizes`` says.
+
+    Groups are in order of their place, then of ``order``.  No task sorts all rows, and a row's groups travel together.
+    """
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = materialize(rows.repartitionByRange(ranges, *order).withColumn("_part", F.spark_partition_id()), "ranged")
+    each = [F.get(sizes, F.lit(i)).cast("bigint") for i in range(places)]
+    sums = held.groupBy("_part").agg(*[F.sum(x).alias(f"_{i}") for i, x in enumerate(each)])
+    before, every = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(F.lit(1))
+    lower = [sum((F.sum(f"_{j}").over(every) for j in range(i)), F.lit(0)) for i in range(places)]
+    shifts = [(F.coalesce(F.sum(f"_{i}").over(before), F.lit(0)) + lower[i]) for i in range(places)]
+    shifts = F.broadcast(sums.select("_part", F.array(*shifts).alias("_shifts")))  # a row for each range
     within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    summed = held.withColumn("_w", F.coalesce(F.sum(size).over(within), F.lit(0))).join(shifts, "_part")
-    return summed.withColumn("first", (F.col("_w") + F.col("_shift")).cast("bigint")).drop("_part", "_w", "_shift")
+    summed = held.select("*", *[F.coalesce(F.sum(x).over(within), F.lit(0)).alias(f"_{i}") for i, x in enumerate(each)]).join(shifts, "_part")
+    firsts = F.array(*[(F.col(f"_{i}") + F.get("_shifts", F.lit(i))).cast("bigint") for i in range(places)])
+    return summed.withColumn("firsts", firsts).drop("_part", "_shifts", *[f"_{i}" for i in range(places)])
 
 
 #: All that ``enrich`` looks at.

@@ -98,6 +98,11 @@ def cluster_sizes(clustered: DataFrame) -> DataFrame:
     return sizes.join(store_counts(clustered), "component").select("component", "size", "stores", "categories")
 
 
+def offer_counts(clustered: DataFrame) -> DataFrame:
+    """``(component, size)``"""
+    return clustered.groupBy("component").agg(F.sum(weight(clustered)).alias("size"))
+
+
 def store_counts(clustered: DataFrame) -> DataFrame:
     """``(component, stores)``"""
     seen = clustered.select("component", each_store(clustered).alias("store")).groupBy("component", "store").agg(F.count("*").alias("n"))

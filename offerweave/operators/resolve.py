@@ -32,10 +32,10 @@ def key_contributions(clustered: DataFrame) -> DataFrame:
         "mpn_root": F.col("mpn_root_key"), "mpn": F.when(reliable(), F.col("mpn_key")), "model_code": F.concat(block, "chosen_code"),
         "title": F.concat(block, "title_key"), "ean": F.col("ean_key"),
     }
-    found = None
-    for name, key in keys.items():
-        part = inner_edges(clustered, key).select("component", F.lit(name).alias("tier"))
-        found = part if found is None else found.unionByName(part)
+    # the rows are read once, with a key of each tier in turn
+    each = F.array_compact(F.array(*[F.when(key.isNotNull(), F.struct(F.lit(name).alias("tier"), key.alias("key"))) for name, key in keys.items()]))
+    keyed = clustered.select("component", "offer_idx", weight(clustered).alias("offers"), F.explode(each).alias("x"))
+    found = inner_edges(keyed, F.col("x"), by="tier").select("component", "tier")
     return _with_method(clustered, found.groupBy("component").agg(F.sort_array(F.collect_set("tier")).alias("tiers")))
 
 

@@ -38,8 +38,8 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def on_offers(name: str, sql: str, make: Callable[[DataFrame], DataFrame], base: str = ad.SQL_OFFERS) -> None:
-    source = ad.listed if base is ad.SQL_CLUSTERS else ad.offers
+def on_offers(name: str, sql: str, make: Callable[[DataFrame], DataFrame], base: str = ad.SQL_OFFERS, texts: bool = False) -> None:
+    source = ad.offers if base is not ad.SQL_CLUSTERS else ad.listed if texts else ad.listed_keys
     query(name, f"{base} {sql}")(lambda spark, sf_dir: make(source(spark, sf_dir)))
 
 
@@ -87,13 +87,13 @@ def all_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- components and products
 query("G2_G3_components", ad.SQL_CLUSTERS + " select offer_idx, component from cl")(lambda s, d: ad.assigned(s, d).select("offer_idx", "component"))
 on_offers("A29_cluster_sizes", "select component, count(*) as size, count(distinct store) as stores, count(distinct coalesce(category, '')) as categories from cl group by 1", rp.cluster_sizes, ad.SQL_CLUSTERS)
-on_offers("K3_largest_clusters", "select component, count(*) as size from cl group by 1 order by size desc, component limit 25", lambda c: rp.top(rp.cluster_sizes(c).select("component", "size"), "size", ["component"], 25), ad.SQL_CLUSTERS)
-on_offers("K5_sample_clusters", "select component, count(*) as size from cl group by 1 order by component limit 10", lambda c: rp.cluster_sizes(c).select("component", "size").orderBy("component").limit(10), ad.SQL_CLUSTERS)
+on_offers("K3_largest_clusters", "select component, count(*) as size from cl group by 1 order by size desc, component limit 25", lambda c: rp.top(rp.offer_counts(c), "size", ["component"], 25), ad.SQL_CLUSTERS)
+on_offers("K5_sample_clusters", "select component, count(*) as size from cl group by 1 order by component limit 10", lambda c: rp.offer_counts(c).orderBy("component").limit(10), ad.SQL_CLUSTERS)
 on_offers("K6_stratified_clusters", """, z as (select component, count(*) as size, count(distinct store) as stores, count(distinct coalesce(category, '')) as categories from cl group by 1),
   r as (select *, row_number() over (order by size desc, component) as nth from z)
   select component, size, stores, categories from r order by case when nth <= 5 then 0 when stores > 1 or categories > 1 then 1 else 2 end, size desc, component limit 15""", lambda c: rp.stratified_clusters(rp.cluster_sizes(c)), ad.SQL_CLUSTERS)
 on_offers("R1_review_signals", """, f as (select component, count(*) as n, count_if(is_suspicious_brand and brand_from_title is null) as lost, count(distinct nullif(effective_brand, '')) as brands from cl group by 1 having count(*) > 1)
-  select component, 'unresolved_suspicious_brand' as reason from f where lost > 0 union all select component, 'cross_effective_brand' from f where brands > 1""", tr.review_signals, ad.SQL_CLUSTERS)
+  select component, 'unresolved_suspicious_brand' as reason from f where lost > 0 union all select component, 'cross_effective_brand' from f where brands > 1""", tr.review_signals, ad.SQL_CLUSTERS, texts=True)
 
 _SQL_METHOD = ad.SQL_CLUSTERS + """, tiers as (
   select component, list_sort(list_distinct(list(tier))) as tiers from (
@@ -111,7 +111,7 @@ _SQL_METHOD = ad.SQL_CLUSTERS + """, tiers as (
 )"""
 
 def _contributed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rs.key_contributions(ad.listed(spark, sf_dir))
+    return rs.key_contributions(ad.listed_keys(spark, sf_dir))
 
 
 @query("A9_match_method", _SQL_METHOD + " select component, size, array_to_string(tiers, ',') as tiers, match_method from meth")
@@ -144,7 +144,7 @@ _SQL_KEYS = _SQL_METHOD + _sql_common("mb", "effective_brand", "brand") + _sql_c
 
 
 def _keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ad._kept(spark, sf_dir, "keys", lambda: rs.match_keys(ad.listed(spark, sf_dir), _contributed(spark, sf_dir)))
+    return ad._kept(spark, sf_dir, "keys", lambda: rs.match_keys(ad.listed_keys(spark, sf_dir), _contributed(spark, sf_dir)))
 
 
 query("A12_match_keys", _SQL_KEYS + " select component, match_key, key_kind from keys")(_keys)
@@ -172,7 +172,7 @@ def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 query("A13_W4_representatives", _SQL_REP + f" select {', '.join(_REP)} from prod")(_products)
 query(FLAGSHIP, _SQL_REP + " select component, brand, category, offer_count, store_count, min_price, max_price from prod")(lambda s, d: _products(s, d).select("component", "brand", "category", "offer_count", "store_count", "min_price", "max_price"))
-query("A36_review_reasons", _SQL_REP + " select 'cross-category' as reason, count(*) as n from prod where needs_review having count(*) > 0")(lambda s, d: rp.reason_counts(rs.category_reviews(ad.listed(s, d)).filter("needs_review")))
+query("A36_review_reasons", _SQL_REP + " select 'cross-category' as reason, count(*) as n from prod where needs_review having count(*) > 0")(lambda s, d: rp.reason_counts(rs.category_reviews(ad.listed_keys(s, d)).filter("needs_review")))
 
 
 @query("G5_bridged_clusters", ad.SQL_CLUSTERS + """, was as (select offer_idx, component, min(offer_idx) over (partition by coalesce(mpn_root_key, 'x' || offer_idx)) as old, count(*) over (partition by coalesce(mpn_root_key, 'x' || offer_idx)) as sz from cl),
@@ -180,7 +180,7 @@ query("A36_review_reasons", _SQL_REP + " select 'cross-category' as reason, coun
   select *, case when clusters = 0 then 'new' when clusters = 1 then 'grew' else 'bridged' end as kind from gr""")
 def bridged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters of all tiers against those of the first tier alone."""
-    return rp.grown_from(tr.first_tier(ad.listed(spark, sf_dir)))
+    return rp.grown_from(tr.first_tier(ad.listed_keys(spark, sf_dir)))
 
 
 # --- reports
@@ -199,7 +199,7 @@ on_offers("A26_good_codes", "select code, count(*) as offers, count(distinct coa
 on_offers("A27_store_bridges", "select code, count(distinct store) as stores from o where good_code is not null group by 1 having bool_or(store = 's0') and bool_or(store = 's1')", lambda o: rp.store_bridges(o, "s0", "s1"))
 on_offers("A28_matchable_codes", "select coalesce(category, '') as category, coalesce(effective_brand, '') as brand, code, count(*) as offers from o where good_code is not null group by 1, 2, 3 having count(*) > 1", rp.matchable_codes)
 on_offers("A32_multi_identifier_clusters", "select component, count(distinct mpn_root) as roots, count(distinct ean) as eans from cl group by 1 having count(distinct mpn_root) > 1 or count(distinct ean) > 1", lambda c: c.groupBy("component").agg(F.count_distinct("mpn_root").alias("roots"), F.count_distinct("ean").alias("eans")).filter("roots > 1 or eans > 1"), ad.SQL_CLUSTERS)
-on_offers("A33_language_clusters", "select component, 'EN' as langs, count(distinct store) as stores from cl group by 1 having count(distinct store) > 1", rp.languages, ad.SQL_CLUSTERS)
+on_offers("A33_language_clusters", "select component, 'EN' as langs, count(distinct store) as stores from cl group by 1 having count(distinct store) > 1", rp.languages, ad.SQL_CLUSTERS, texts=True)
 on_offers("A35_store_count", "select component, count(distinct store) as stores from cl group by 1", rp.store_counts, ad.SQL_CLUSTERS)
 on_offers("A37_blocked_codes", "select distinct code, 'suffix' as kind from o where code = '770nc'", rp.blocked_codes)
 on_offers("A38_identifier_sources", "select identifier_source, count(*) as n, round(count(*) * 100.0 / sum(count(*)) over (), 2)::double as pct from o group by 1", lambda o: rp.shares(o, "identifier_source").withColumn("pct", F.col("pct").cast("double")))
@@ -293,7 +293,7 @@ res as (select component, case when n = 1 then 'attached' when n > 1 then 'merge
 
 
 def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ad._kept(spark, sf_dir, "decisions", lambda: rs.resolve_identity(ad.listed(spark, sf_dir), _keys(spark, sf_dir), *_catalog(spark, sf_dir), by=("p_partkey",)))
+    return ad._kept(spark, sf_dir, "decisions", lambda: rs.resolve_identity(ad.listed_keys(spark, sf_dir), _keys(spark, sf_dir), *_catalog(spark, sf_dir), by=("p_partkey",)))
 
 
 @query("U5_J8_J9_identity", _SQL_IDENTITY + " select component, resolution, product_id, absorbed from res")
@@ -305,7 +305,7 @@ def identity(spark: SparkSession, sf_dir: str) -> DataFrame:
   w as (select *, first_value(component) over (partition by coalesce(product_id, -component - 1) order by size desc, component) as winner, count(*) over (partition by coalesce(product_id, -component - 1)) as merged from sz)
   select winner as component, any_value(merged) as clusters_merged, sum(size)::bigint as offers from w group by 1""")
 def collision_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = rs.merge_collisions(ad.listed(spark, sf_dir), _decisions(spark, sf_dir).select("component", "product_id"))
+    merged = rs.merge_collisions(ad.listed_keys(spark, sf_dir), _decisions(spark, sf_dir).select("component", "product_id"))
     return merged.groupBy("component").agg(F.first("clusters_merged").alias("clusters_merged"), F.sum("offers").alias("offers"))
 
 
@@ -474,7 +474,7 @@ def first_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     and not list_has_any(list(old) filter (store = 's0'), list(old) filter (store = 's1'))""")
 def bridged_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters that join two stores whose offers were apart after the first tier."""
-    rows = tr.first_tier(ad.listed(spark, sf_dir))
+    rows = tr.first_tier(ad.listed_keys(spark, sf_dir))
     both = rows.select("component", "old", tr.each_store(rows).alias("store")).filter(F.col("store").isin("s0", "s1"))
     sides = both.groupBy("component", "old").agg(*[F.max((F.col("store") == s).cast("int")).alias(s) for s in ("s0", "s1")])
     found = sides.groupBy("component").agg(F.max("s0").alias("s0"), F.max("s1").alias("s1"), F.max(F.when(F.col("old").isNull(), 0).otherwise(F.col("s0") * F.col("s1"))).alias("shared"))
@@ -698,7 +698,7 @@ def category_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
   select component, count(*) as edges from hubs where hub <> offer_idx group by component""")
 def inner_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First-tier edges whose two offers ended in one cluster."""
-    return tr.inner_edges(ad.listed(spark, sf_dir), F.col("mpn_root_key"))
+    return tr.inner_edges(ad.listed_keys(spark, sf_dir), F.col("mpn_root_key"))
 
 
 @query("J10_new_id_by_key", _SQL_IDENTITY + ", fresh as (select component from res where resolution = 'new') select component, 5000000 + row_number() over (order by component) - 1 as product_id from fresh")
