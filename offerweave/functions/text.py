@@ -91,27 +91,40 @@ def normalize_units(text: Column) -> Column:
         big = F.lower(F.regexp_extract(m, storage, 2)) == "tb"
         return F.coalesce(F.concat(F.when(big, n * 1024).otherwise(n).cast("decimal(38,0)").cast("string"), F.lit("gb")), m)
 
-    text = replace_each(text, storage, in_gb)
     inch = r"""\s*(?:"|'{2}|″|inches|inch|in\b|ίντσες|ιντσών|ιντσες|ιντσων|ιντσεσ|ίντσεσ)"""
-    text = F.regexp_replace(text, rf"{U}(\d+)[.,](\d+){inch}", "$1.$2in")
-    text = F.regexp_replace(text, rf"{U}(\d+){inch}", "$1in")
-    text = replace_each(text, rf"{U}\d+(?:[.,]\d+)?\s*(?:ml|l)\b", lambda m: F.lower(F.regexp_replace(F.translate(m, ",", "."), rf"{U}\s+", "")))
-    return text
+    # the beginnings of all that follows a number below
+    begun = rf"""{U}\d\s*(?:"|'{{2}}|″|in|ίν|ιν|ml|l)"""
+
+    def others(t: Column) -> Column:
+        out = F.regexp_replace(t, rf"{U}(\d+)[.,](\d+){inch}", "$1.$2in")
+        out = F.regexp_replace(out, rf"{U}(\d+){inch}", "$1in")
+        out = replace_each(out, rf"{U}\d+(?:[.,]\d+)?\s*(?:ml|l)\b", lambda m: F.lower(F.regexp_replace(F.translate(m, ",", "."), rf"{U}\s+", "")))
+        return F.when(t.rlike(begun), out).otherwise(t)
+
+    return once(replace_each(text, storage, in_gb), others)
+
+
+def _any_of(phrases: list[str]) -> str:
+    """A pattern of any of the phrases, the first ones first; those of one first letter together, so that others are passed over at once."""
+    by_first: dict[str, list[str]] = {}
+    for p in phrases:
+        by_first.setdefault(p[0], []).append(rf"\Q{p[1:]}\E")
+    return "|".join(rf"\Q{first}\E(?:{'|'.join(rest)})" for first, rest in by_first.items())
 
 
 def _without(text: Column, phrases: tuple[str, ...]) -> Column:
     """Without whole phrases: the longest first, equal lengths in order of their text."""
     ordered = sorted(set(phrases), key=lambda p: (-len(p), p))
     joined = [p for p in ordered if not p.isalnum()]
-    whole = lambda some: r"(?U)(?<!\w)(?:" + "|".join(rf"\Q{p}\E" for p in some) + r")(?!\w)"
+    whole = lambda some: rf"(?U)(?<!\w)(?:{_any_of(some)})(?!\w)"
 
     def run(t: Column) -> Column:
         out = t
         for _, same in groupby(ordered, key=len):
-            out = F.regexp_replace(out, whole(same), "")
+            out = F.regexp_replace(out, whole(list(same)), "")
         # most texts hold none; single words cannot overlap, so their order does not matter
         once_over = F.regexp_replace(t, whole(ordered), "")
-        return F.when(~t.rlike(whole(ordered)), t).when(~t.rlike("|".join(rf"\Q{p}\E" for p in joined)), once_over).otherwise(out)
+        return F.when(~t.rlike(whole(ordered)), t).when(~t.rlike(_any_of(joined)), once_over).otherwise(out)
 
     return once(text, run)
 
