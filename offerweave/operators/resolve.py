@@ -149,6 +149,22 @@ def representatives(clustered: DataFrame) -> DataFrame:
     )
 
 
+def summaries(clustered: DataFrame) -> DataFrame:
+    """The columns of ``representatives`` that need no texts, from rows with ``low`` and ``high``, ``offers`` and ``stores``."""
+    rows = clustered.select("component", "effective_brand", "category", "offers", "stores", "low", "high")
+    alike = rows.groupBy("component", "effective_brand", "category").agg(
+        F.sum("offers").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.array_distinct(F.flatten(F.collect_set("stores"))).alias("stores")
+    )
+    held = materialize(alike, "summed")
+    facts = held.groupBy("component").agg(
+        F.sum("n").alias("offer_count"), F.size(F.array_distinct(F.flatten(F.collect_set("stores")))).cast("bigint").alias("store_count"),
+        F.min("low").alias("min_price"), F.max("high").alias("max_price"),
+    )
+    for value, alias in (("effective_brand", "brand"), ("category", "category")):
+        facts = facts.join(most_common(held, value, alias, "n"), "component", "left")
+    return facts.withColumn("brand", F.lower("brand")).select("component", "brand", "category", "offer_count", "store_count", "min_price", "max_price")
+
+
 def add_reason(reason: Column, more: Column) -> Column:
     return F.concat_ws("; ", reason, more)
 

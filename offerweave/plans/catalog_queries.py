@@ -171,7 +171,14 @@ def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 query("A13_W4_representatives", _SQL_REP + f" select {', '.join(_REP)} from prod")(_products)
-query(FLAGSHIP, _SQL_REP + " select component, brand, category, offer_count, store_count, min_price, max_price from prod")(lambda s, d: _products(s, d).select("component", "brand", "category", "offer_count", "store_count", "min_price", "max_price"))
+
+
+@query(FLAGSHIP, _SQL_REP + " select component, brand, category, offer_count, store_count, min_price, max_price from prod")
+def resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prices = {c: F.col(c).cast("double") for c in ("min_price", "max_price")}
+    return rs.summaries(ad.summed(spark, sf_dir)).withColumns(prices)
+
+
 query("A36_review_reasons", _SQL_REP + " select 'cross-category' as reason, count(*) as n from prod where needs_review having count(*) > 0")(lambda s, d: rp.reason_counts(rs.category_reviews(ad.listed_keys(s, d)).filter("needs_review")))
 
 
